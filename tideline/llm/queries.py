@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, rules, toxicity, urls
+from . import decontaminate, linededup, packing, rules, simhash, toxicity, urls
 from .common import load
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"))
 
@@ -36,11 +42,24 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(load(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.dedup_lines(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", F.col("n_lines_removed").cast("long").alias("n_lines_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
     "op3_quality_rules": op3_quality_rules,
     "op4_toxicity": op4_toxicity,
     "op5_url_filter": op5_url_filter,
+    "op6_simhash": op6_simhash,
+    "op8_line_dedup": op8_line_dedup,
 }
 
 
