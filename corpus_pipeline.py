@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tideline.llm import packing, rules
+from tideline.llm import decontaminate, linededup, packing, rules, simhash
 from tideline.llm.common import load, stored
 
 
@@ -13,12 +14,28 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rules.keep_good(docs, rules.fit(docs, load(spark, sf_dir, "labels")))
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that an earlier one equals or nearly equals go, and documents that lose all their text with them."""
+    kept = linededup.dedup_lines(docs).where("n_lines_removed = 0 OR trim(text) <> ''")
+    return kept.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates, the document with the smallest id stays."""
+    return simhash.keep_first(docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    return decontaminate.keep_clean(docs, load(spark, sf_dir, "benchmark"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The layout of the kept documents in length buckets and token-budget batches."""
     return packing.pack(docs)
 
 
-STAGES = [("quality rules", quality), ("packing", pack)]
+STAGES = [("quality rules", quality), ("line dedup", lines), ("simhash near-dedup", copies), ("benchmark decontamination", benchmark), ("packing", pack)]
 
 #: The decision list is learned, which SQL can't express.
 ORACLE_SQL = None
