@@ -93,6 +93,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("row_key"), F.col(text).alias("t")).join(gone, F.col("row_key") == F.col("gone_doc"), "left")
     rows = rows.withColumn("stays", stays)
     kept = F.when(F.col("gone").isNull(), F.col("t")).otherwise(F.array_join(F.filter(F.split("t", "\n"), lambda line, i: F.coalesce(F.get("stays", i), F.lit(True))), "\n"))
-    return rows.select("row", kept.alias("kept"), F.coalesce(F.size("gone"), F.lit(0)).alias("removed")).select(
-        *[(F.col("kept") if c == text else F.col(f"row.`{c}`")).alias(c) for c in docs.columns if c != "n_lines_removed"], F.greatest("removed", F.lit(0)).alias("n_lines_removed")
-    )
+    made = F.struct(kept.alias("kept"), F.greatest(F.coalesce(F.size("gone"), F.lit(0)), F.lit(0)).alias("n_lines_removed"))
+    # a generator, since a filter on the new text would be pushed below and evaluate its parts again inside the lambda
+    rows = rows.select("row", F.inline_outer(F.array(made)))
+    return rows.select(*[(F.col("kept") if c == text else F.col(f"row.`{c}`")).alias(c) for c in docs.columns if c != "n_lines_removed"], "n_lines_removed")

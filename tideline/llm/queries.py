@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, linededup, packing, rules, simhash, toxicity, urls
+from . import decontaminate, linededup, packing, rules, simhash, toxicity, urls, warc
 from .common import load
 
 
@@ -47,6 +47,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(load(spark, sf_dir, "pages"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = linededup.dedup_lines(load(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", F.col("n_lines_removed").cast("long").alias("n_lines_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_url_filter": op5_url_filter,
     "op6_simhash": op6_simhash,
+    "op7_warc": op7_warc,
     "op8_line_dedup": op8_line_dedup,
 }
 
@@ -82,4 +87,12 @@ def url_sql() -> str:
         FROM m"""
 
 
-ORACLE: dict[str, str] = {"op5_url_filter": url_sql()}
+WARC_SQL = """
+    WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+    g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last_id FROM p)
+    SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN payload_bytes >= 1000 AND page_id < last_id THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN payload_bytes >= 1000 AND page_id < last_id THEN last_id END AS refers_to
+    FROM g"""
+
+ORACLE: dict[str, str] = {"op5_url_filter": url_sql(), "op7_warc": WARC_SQL}
