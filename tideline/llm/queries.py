@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, linededup, packing, rules, simhash, toxicity, urls, warc
+from . import chat, decontaminate, linededup, packing, rules, simhash, toxicity, urls, warc
 from .common import load
 
 
@@ -56,6 +56,13 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", F.col("n_lines_removed").cast("long").alias("n_lines_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = load(spark, sf_dir, "conversations")
+    made = chat.format_chats(chat.render(table), chat.fit(table))
+    roles = F.array_join(F.transform("turns", lambda t: t["role"]), ",")
+    return made.select("conv_id", F.col("segment").cast("long").alias("segment"), "n_turns", F.size("turns").cast("long").alias("n_found"), roles.alias("roles"), F.sha2("rendered", 256).alias("rendered_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
@@ -65,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
     "op7_warc": op7_warc,
     "op8_line_dedup": op8_line_dedup,
+    "op9_chat_format": op9_chat_format,
 }
 
 
