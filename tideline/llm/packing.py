@@ -1,6 +1,6 @@
 """Sequence packing: optimal length buckets, then token-budget batches inside each bucket.
 
-Lengths are counted natively; only their histogram (bounded by the length grid, not by the rows) reaches the
+Texts are read once, for their lengths; only the lengths' histogram (bounded by the length grid, not by the rows) reaches the
 driver, where dynamic programming picks the bucket boundaries with the least padding. Every document gets a
 place: nothing is truncated, and a document longer than the budget makes a batch of its own. Null and empty
 texts have length 0 and fall in the first bucket, whose sequences still occupy one slot. Equal lengths share a
@@ -10,12 +10,16 @@ bucket; repeated rows each get a slot; an empty table gives an empty result; cla
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import split_words
+from .common import stored
 
 #: Lengths are exact below EXACT; above, they round up to 1/STEPS of their power of two, which bounds the histogram.
 EXACT, STEPS = 2048, 512
@@ -69,6 +73,17 @@ def optimal_boundaries(lengths: list[int], counts: list[int], buckets: int) -> l
     return sorted(out)
 
 
+def sizes(docs: DataFrame, text: str, key: str, count=None) -> DataFrame:
+    """key and n_tokens. count: maps an Arrow array of texts to one of token counts; runs of non-blank characters by default."""
+    count = count or (lambda texts: pc.count_substring_regex(texts, r"[^\x20\x09-\x0D]+"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(key), pc.fill_null(count(batch.column(text)).cast(pa.int64()), 0)], names=[key, "n_tokens"])
+
+    return docs.select(key, text).mapInArrow(run, T.StructType([docs.schema[key], T.StructField("n_tokens", T.LongType())]))
+
+
 def length_buckets(sized: DataFrame, buckets: int, length: str = "n_tokens") -> tuple[list[int], int]:
     """The optimal boundaries over the whole table, and its row count."""
     seen = sized.groupBy(grid(F.col(length)).alias("len")).agg(F.count(F.lit(1)).alias("n")).collect()
@@ -76,14 +91,13 @@ def length_buckets(sized: DataFrame, buckets: int, length: str = "n_tokens") ->
     return optimal_boundaries([r["len"] for r in seen], [r["n"] for r in seen], buckets), sum(r["n"] for r in seen)
 
 
-def pack(docs: DataFrame, buckets: int = 16, token_budget: int = 16384, text: str = "text", key: str = "doc_id", n_tokens=None) -> DataFrame:
+def pack(docs: DataFrame, buckets: int = 16, token_budget: int = 16384, text: str = "text", key: str = "doc_id", count=None) -> DataFrame:
     """Per row: n_tokens, bucket_id, bucket_len, batch_id (within its bucket), slot (within its batch), batch_size.
 
-    n_tokens: a Column counting tokens; words by default. The slots of a bucket are numbered without bringing
-    it together: about sqrt(rows) hashed shares are numbered apart and offset by the counts of earlier shares.
+    count: see sizes(). The slots of a bucket are numbered without bringing it together: about sqrt(rows) hashed
+    shares are numbered apart and offset by the counts of earlier shares.
     """
-    counted = n_tokens if n_tokens is not None else F.size(split_words(F.col(text)))
-    sized = docs.select(F.col(key), counted.cast("long").alias("n_tokens"))
+    sized = stored(sizes(docs, text, key, count), "sizes")
     bounds, rows = length_buckets(sized, buckets)
     shares = max(1, math.isqrt(rows))
     bounds = bounds or [0]
