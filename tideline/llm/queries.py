@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, linededup, packing, rules, simhash, toxicity, urls, warc
+from . import bwt, chat, decontaminate, linededup, packing, rules, simhash, toxicity, urls, warc
 from .common import load
 
 
@@ -63,6 +63,11 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("conv_id", F.col("segment").cast("long").alias("segment"), "n_turns", F.size("turns").cast("long").alias("n_found"), roles.alias("roles"), F.sha2("rendered", 256).alias("rendered_sha256"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = bwt.remove_repeats(load(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_warc": op7_warc,
     "op8_line_dedup": op8_line_dedup,
     "op9_chat_format": op9_chat_format,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 
