@@ -1 +1 @@
-"""tideline"""
+"""A PySpark-native engine for key-value change feeds."""

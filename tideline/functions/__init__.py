@@ -1 +1 @@
-"""functions"""
+"""Scalar functions over commands, payloads and log records."""

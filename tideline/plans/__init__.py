@@ -1 +1 @@
-"""plans"""
+"""Input adapters and the catalogue of registered queries."""

@@ -1 +1 @@
-"""sources"""
+"""Sources and sinks: options, write-ahead logs, checkpoints."""
