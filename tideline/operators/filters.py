@@ -21,6 +21,28 @@ SPECIAL = set(".+?^$()[]{}|\\*")
 #: What linear-time expression engines reject but the JVM's accepts: lookaround, atomic groups, back references, possessive quantifiers.
 BACKTRACKING = re.compile(r"\(\?(?:[=!>]|<[=!])|\\[1-9]|\\k<|[*+?}]\+")
 
+#: A brace that begins no repetition is a plain character in the filter language, but not in the JVM's.
+PLAIN_BRACE = re.compile(r"(?<!\\)(?<!\\[pPx])\{(?!\d+(?:,\d*)?\})")
+NAMED_CLASS = re.compile(r"\[:(\^?)(\w+):\]")
+_TO_JVM = {"word": r"\w", "ascii": r"\p{ASCII}", "xdigit": r"\p{XDigit}"}
+
+
+def jvm_pattern(text: str) -> str:
+    """The same expression as the JVM writes it: plain braces, [:classes:] and named groups."""
+    named = lambda m: (_TO_JVM.get(m[2]) or rf"\p{{{m[2].capitalize()}}}").replace("\\p", "\\P" if m[1] else "\\p")
+    return NAMED_CLASS.sub(named, PLAIN_BRACE.sub(r"\\{", text)).replace("(?P<", "(?<")
+
+
+def check_pattern(text: str) -> None:
+    """ValueError for what a linear-time engine can't run, or can't parse."""
+    if BACKTRACKING.search(text):
+        raise ValueError("needs backtracking")
+    plain = re.sub(r"\\[pP](?:\{\^?\w+\}|\w)", "w", NAMED_CLASS.sub("w", PLAIN_BRACE.sub(r"\\{", text))).replace(r"\z", r"\Z")
+    try:
+        re.compile(plain)
+    except re.error as e:
+        raise ValueError(str(e)) from e
+
 
 @dataclass(frozen=True)
 class KeyMatch:
@@ -29,7 +51,7 @@ class KeyMatch:
 
     def column(self, key: Column) -> Column:
         if self.kind == "regex":
-            return key.cast("string").rlike(self.text)
+            return key.cast("string").rlike(jvm_pattern(self.text))
         return key == F.lit(self.text) if self.kind == "exact" else key.startswith(self.text)
 
 
@@ -53,12 +75,7 @@ def parse_key(text: str) -> KeyMatch:
         return KeyMatch("prefix", text[:-1])
     if not SPECIAL & set(text):
         return KeyMatch("exact", text)
-    if BACKTRACKING.search(text):
-        raise ValueError("needs backtracking")
-    try:
-        re.compile(text)
-    except re.error as e:
-        raise ValueError(str(e)) from e
+    check_pattern(text)
     return KeyMatch("regex", text)
 
 
