@@ -92,14 +92,14 @@ def one_command(spark, argv):
 
 def test_golden_event(spark):
     row = events.records(events.binlog_events(one_command(spark, ["SET", "k", "v"]), Options(source_id="10.0.0.1:9221"))).first()
-    assert tuple(row) == ("pika.binlog", "db0:string:k", GOLDEN)
+    assert tuple(row) == ("feed.binlog", "db0:string:k", GOLDEN)
 
 
 def test_event_variants(spark):
     o = Options(source_id="primary", args_encoding="none", include_raw_resp=False, kafka_stream_mode="single")
     row = events.records(events.binlog_events(one_command(spark, ["DEL", 'a"\n']), o)).first()
     doc = json.loads(row["value"])
-    assert row["topic"] == "pika.stream" and doc["args"] == ["DEL", 'a"\n'] and doc["key"] == 'a"\n' and "raw_resp" not in doc and doc["source"] == {"host": "primary"}
+    assert row["topic"] == "feed.single" and doc["args"] == ["DEL", 'a"\n'] and doc["key"] == 'a"\n' and "raw_resp" not in doc and doc["source"] == {"host": "primary"}
     empty = json.loads(events.records(events.binlog_events(one_command(spark, []), o)).first()["value"])
     assert "op" not in empty and empty["key"] == "" and empty["args"] == [] and empty["data_type"] == "unknown"
     assert events.source_object("::1") == '{"host":"::1"}' and events.source_object("h:1") == '{"host":"h","port":1}'

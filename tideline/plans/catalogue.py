@@ -136,7 +136,7 @@ def partition_key(spark, sf_dir):
     return _log(spark, sf_dir).select("seq", made(F.col("key")).alias("event_key"), made(F.lit("")).alias("keyless"))
 
 
-@query(_log_sql("seq, CASE WHEN seq % 2 = 0 THEN 'pika.snapshot' ELSE 'pika.binlog' END AS dual, 'pika.stream' AS single"))
+@query(_log_sql("seq, CASE WHEN seq % 2 = 0 THEN 'feed.snapshot' ELSE 'feed.binlog' END AS dual, 'feed.single' AS single"))
 def topic_route(spark, sf_dir):
     kind = F.when(F.col("seq") % 2 == 0, F.lit("snapshot")).otherwise(F.lit("binlog"))
     o = OPTIONS
@@ -186,7 +186,7 @@ def pksetexat(spark, sf_dir):
 # ---- events ---------------------------------------------------------------------------------------------------
 
 
-@query(_log_sql(f"'pika.binlog' AS topic, 'db0:' || data_type || ':' || key AS key, {_LOG_VALUE} AS value"))
+@query(_log_sql(f"'feed.binlog' AS topic, 'db0:' || data_type || ':' || key AS key, {_LOG_VALUE} AS value"))
 def binlog_event_json(spark, sf_dir):
     return events.records(events.binlog_events(adapters.log(spark, sf_dir), OPTIONS))
 
@@ -200,7 +200,7 @@ _SNAPSHOT_VALUE = (
 
 @query(
     f"""WITH s AS (SELECT 'cust:' || c_custkey AS key, list_concat(['SET', 'cust:' || c_custkey, c_name], CASE WHEN c_custkey % 10 = 0 THEN ['EX', '3600'] ELSE [] END) AS argv FROM customer)
-    SELECT 'pika.stream' AS topic, 'db0:string:' || key AS key, {_SNAPSHOT_VALUE} AS value FROM s"""
+    SELECT 'feed.single' AS topic, 'db0:string:' || key AS key, {_SNAPSHOT_VALUE} AS value FROM s"""
 )
 def snapshot_event_json(spark, sf_dir):
     rows = snapshot.strings(adapters.strings(spark, sf_dir)).withColumn("raw_resp", resp.serialize(F.col("argv")))
@@ -473,7 +473,7 @@ def crc32c_vector(spark, sf_dir):
     return spark.range(1, 2).select(F.col("id").alias("seq"), numbers.crc32c(F.lit("123456789").cast("binary")).alias("crc"))
 
 
-_STREAMED = _log_sql("'pika.binlog' AS topic, 'db0:' || data_type || ':' || key AS key, argv[1] AS command, CAST(count(*) AS BIGINT) AS n", "(starts_with(key, 'user:1') AND data_type IN ('list', 'unknown')) OR data_type IN ('zset', 'unknown')") + " GROUP BY ALL"
+_STREAMED = _log_sql("'feed.binlog' AS topic, 'db0:' || data_type || ':' || key AS key, argv[1] AS command, CAST(count(*) AS BIGINT) AS n", "(starts_with(key, 'user:1') AND data_type IN ('list', 'unknown')) OR data_type IN ('zset', 'unknown')") + " GROUP BY ALL"
 
 
 @query(_STREAMED)

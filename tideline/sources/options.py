@@ -23,9 +23,9 @@ class Options:
     db_name: str = "db0"
     source_id: str = "127.0.0.1:0"
     kafka_stream_mode: str = "dual"
-    kafka_topic_snapshot: str = "pika.snapshot"
-    kafka_topic_binlog: str = "pika.binlog"
-    kafka_topic_single: str = "pika.stream"
+    kafka_topic_snapshot: str = "feed.snapshot"
+    kafka_topic_binlog: str = "feed.binlog"
+    kafka_topic_single: str = "feed.single"
     args_encoding: str = "base64"
     raw_resp_encoding: str = "base64"
     include_raw_resp: bool = True
