@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import commands, header, numbers, resp
+from ..functions import commands, frames, header, numbers, resp
 from ..operators import events, filters, planner, progress, snapshot, status
 from ..sources import checkpoint, wal
 from ..sources.options import Options
@@ -130,6 +130,15 @@ def header_roundtrip(spark, sf_dir):
     return h.select("seq", "h.type", "h.exec_time", "h.term_id", long("logic_id"), "h.filenum", long("offset"), F.col("h.content").cast("string").alias("content"), "h.error")
 
 
+@query(_log_sql("seq, CAST(2 AS INT) AS n_frames, raw_resp AS first, key AS second, CAST(3 AS INT) AS rest"))
+def frame_split(spark, sf_dir):
+    """Two frames and the beginning of a third."""
+    sent = F.concat(frames.frame(F.col("raw_resp").cast("binary")), frames.frame(F.col("key").cast("binary")), F.lit(b"\0\0\1"))
+    rows = _log(spark, sf_dir).select("seq", frames.split(sent).alias("f"))
+    at = lambda k: F.get("f.frames", k).cast("string")
+    return rows.select("seq", F.size("f.frames").alias("n_frames"), at(0).alias("first"), at(1).alias("second"), F.octet_length("f.rest").alias("rest"))
+
+
 @query(_log_sql("seq, 'db0:' || data_type || CASE WHEN key = '' THEN '' ELSE ':' || key END AS event_key, 'db0:' || data_type AS keyless"))
 def partition_key(spark, sf_dir):
     made = lambda key: commands.partition_key(F.lit("db0"), F.col("data_type"), key)
@@ -473,6 +482,22 @@ def crc32c_vector(spark, sf_dir):
     return spark.range(1, 2).select(F.col("id").alias("seq"), numbers.crc32c(F.lit("123456789").cast("binary")).alias("crc"))
 
 
+@query(_log_sql("""seq, filenum, "offset", raw_resp AS payload""", """filenum > 1 OR (filenum = 1 AND "offset" > 20000)"""))
+def wal_stream(spark, sf_dir):
+    """Segments read as a stream from a position on."""
+    import os
+
+    folder = _scratch(spark, "wal-stream").removeprefix("file://")
+    os.makedirs(f"{folder}/log")
+    rows = _log(spark, sf_dir).select(F.lit(7).alias("epoch"), "seq", "filenum", "offset", F.col("raw_resp").cast("binary").alias("payload"))
+    wal.write(wal.range_by_position(rows, 4), f"{folder}/log", segment_bytes=1 << 18).count()
+    spark.dataSource.register(wal.WalDataSource)
+    stream = spark.readStream.format("wal").option("startingOffsets", "1:20000").option("ackPath", f"{folder}/ack.json").load(f"{folder}/log")
+    feed.write_bronze(stream, f"{folder}/bronze", f"{folder}/checkpoint").awaitTermination()
+    read = spark.read.schema(stream.schema).parquet(f"{folder}/bronze")
+    return read.select(F.col("seq").cast("long").alias("seq"), "filenum", F.col("offset").cast("long").alias("offset"), F.col("payload").cast("string").alias("payload"))
+
+
 _STREAMED = _log_sql("'feed.binlog' AS topic, 'db0:' || data_type || ':' || key AS key, argv[1] AS command, CAST(count(*) AS BIGINT) AS n", "(starts_with(key, 'user:1') AND data_type IN ('list', 'unknown')) OR data_type IN ('zset', 'unknown')") + " GROUP BY ALL"
 
 

@@ -142,3 +142,22 @@ def from_args(argv: list[str]) -> Options:
         print("; ".join(bad), file=sys.stderr)
         raise SystemExit(2)
     return o
+
+
+def start_position(o: Options, stored: tuple[int, int] | None, current: tuple[int, int] | None) -> tuple[str, tuple[int, int] | None]:
+    """Where a log stream begins: an explicit position, the primary's current one, the stored checkpoint, or else a snapshot first."""
+    if o.filenum is not None and o.offset is not None:
+        return "position", (o.filenum, o.offset)
+    if o.start_from_master and current is not None:
+        return "position", current
+    if o.initial_full_sync and stored is None:
+        return "snapshot", None
+    return ("position", stored) if stored is not None else ("latest", None)
+
+
+def after_purge(o: Options, current: tuple[int, int] | None) -> tuple[str, tuple[int, int] | None]:
+    """What to do when the wanted position is gone: take a snapshot, go on from the current position, or stop. Unknown actions mean a snapshot."""
+    action = o.sync_point_purged_action.strip().lower()
+    if action == "start_from_master" and current is not None:
+        return "position", current
+    return ("stop", None) if action == "pause" else ("snapshot", None)

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from ..functions.numbers import crc32c_bytes
 
@@ -91,9 +91,20 @@ def _batch(rows: list[tuple], path: str) -> pa.RecordBatch:
 
 
 class WalSegment(InputPartition):
-    def __init__(self, path: str):
+    """A segment, and the positions of it that count: after the first, up to the second; all when None."""
+
+    def __init__(self, path: str, after: tuple | None = None, upto: tuple | None = None):
         super().__init__(path)
-        self.path = path
+        self.path, self.after, self.upto = path, after, upto
+
+
+def _segments(folder: str) -> list[tuple[tuple[int, int], str]]:
+    """(start position, path) of the segments of a folder, in order."""
+    import re
+    from pathlib import Path
+
+    found = sorted((int(m[1]), int(m[2]), int(m[3]), str(p)) for p in Path(folder).iterdir() if (m := re.search(NAME, p.name)))
+    return [((f, o), path) for f, o, _, path in found]
 
 
 class WalReader(DataSourceReader):
@@ -102,11 +113,8 @@ class WalReader(DataSourceReader):
         self.start = tuple(int(x) for x in options.get("from", "0:0").split(":"))
 
     def partitions(self):
-        import re
-        from pathlib import Path
-
-        found = sorted((int(m[1]), int(m[2]), int(m[3]), str(p)) for p in Path(self.folder).iterdir() if (m := re.search(NAME, p.name)))
-        return [WalSegment(path) for k, (_, _, _, path) in enumerate(found) if k + 1 == len(found) or found[k + 1][:2] > self.start or found[k + 1][:2] == (0, 0)]
+        found = _segments(self.folder)
+        return [WalSegment(path) for k, (_, path) in enumerate(found) if k + 1 == len(found) or found[k + 1][0] > self.start or found[k + 1][0] == (0, 0)]
 
     def read(self, partition):
         from pathlib import Path
@@ -115,6 +123,55 @@ class WalReader(DataSourceReader):
         yield _batch(rows, partition.path)
 
 
+class WalStreamReader(DataSourceStreamReader):
+    """The folder as a stream. An offset is the position of the last record taken; ``startingOffsets`` is earliest, latest or filenum:offset.
+
+    A batch opens only the segments that can hold positions in its range. commit() records what has been processed
+    in ``ackPath``, for whoever sends acknowledgements upstream or removes old segments.
+    """
+
+    def __init__(self, options: dict):
+        self.folder, self.ack = options["path"], options.get("ackPath")
+        self.starting = options.get("startingOffsets", "earliest")
+
+    def initialOffset(self):
+        if self.starting == "latest":
+            return self.latestOffset()
+        at = (0, -1) if self.starting == "earliest" else tuple(int(x) for x in self.starting.split(":"))
+        return {"filenum": at[0], "offset": at[1]}
+
+    def latestOffset(self):
+        from pathlib import Path
+
+        for start, path in reversed(_segments(self.folder)):
+            last = None
+            for record in decode(Path(path).read_bytes()):
+                last = record
+            if last:
+                return {"filenum": last[3], "offset": last[4]}
+        return {"filenum": 0, "offset": -1}
+
+    def partitions(self, start, end):
+        after, upto = (start["filenum"], start["offset"]), (end["filenum"], end["offset"])
+        found = _segments(self.folder)
+        ends = [at for at, _ in found[1:]] + [None]
+        return [WalSegment(path, after, upto) for (at, path), stop in zip(found, ends) if at <= upto and (stop is None or stop > after or stop == (0, 0))]
+
+    def read(self, partition):
+        from pathlib import Path
+
+        yield _batch([r for r in decode(Path(partition.path).read_bytes()) if partition.after < (r[3], r[4]) <= partition.upto], partition.path)
+
+    def commit(self, end):
+        if self.ack:
+            import json
+            import os
+
+            with open(self.ack + ".tmp", "w") as out:
+                json.dump(end, out)
+            os.replace(self.ack + ".tmp", self.ack)
+
+
 class WalDataSource(DataSource):
     """``spark.read.format("wal").load(folder)`` after ``spark.dataSource.register(WalDataSource)``; options: from (filenum:offset), strict."""
 
@@ -128,6 +185,9 @@ class WalDataSource(DataSource):
     def reader(self, schema):
         return WalReader(self.options)
 
+    def streamReader(self, schema):
+        return WalStreamReader(self.options)
+
 
 def write(df: DataFrame, folder: str, segment_bytes: int = 256 << 20) -> DataFrame:
     """Write rows of epoch, seq, filenum, offset, payload as segments, each task its own, in the order of its rows; path and n of what was written.

@@ -57,6 +57,17 @@ def write_batches(stream: DataFrame, path: str, checkpoint: str, partitions: int
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def write_bronze(log: DataFrame, path: str, checkpoint: str, once: bool = True):
+    """Append the raw log records themselves, before any decoding, as the durable copy that everything else can be rebuilt from."""
+    writer = log.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def without_repeats(events_: DataFrame, time: str, delay: str = "10 minutes") -> DataFrame:
+    """Log events once by event_id, within a watermark. Snapshot events share ids, so they must not come here."""
+    return events_.withWatermark(time, delay).dropDuplicatesWithinWatermark(["event_id"])
+
+
 def write_kafka(stream: DataFrame, brokers: str, checkpoint: str, idempotent: bool = True, max_bytes: int = 1_000_000):
     """The Kafka sink: topic, key and value columns; needs the connector's jar on the cluster."""
     rows = events.records(stream)
