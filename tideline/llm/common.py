@@ -52,8 +52,16 @@ def forget(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def total_bytes(df: DataFrame, *columns: str) -> tuple[int, int]:
-    """Rows of df and bytes in its string columns: what a broadcast of it would hold."""
-    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in columns), F.lit(0))
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
-    return row["n"], row["b"]
+#: Bytes up to which a table is broadcast once it has been measured; beyond, its joins shuffle.
+BROADCAST_BYTES = 32 << 20
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df, marked for broadcast when its measured size allows. It is evaluated for that, so it should be stored or cheap."""
+    size = F.lit(64)
+    for f in df.schema:
+        kind = f.dataType.typeName()
+        flat = kind == "array" and f.dataType.elementType.typeName() in ("integer", "long", "double")
+        per = {"array": F.size(f.name) * (8 if flat else 48), "string": F.octet_length(f.name), "binary": F.octet_length(f.name)}.get(kind, F.lit(8))
+        size = size + F.coalesce(per, F.lit(0))
+    return F.broadcast(df) if (df.agg(F.sum(size.cast("long"))).first()[0] or 0) <= BROADCAST_BYTES else df

@@ -16,16 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, split_words, stored
+from .common import ascii_lower, small, split_words, stored
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Rows up to which a side is broadcast after it was counted.
-SMALL = 100_000
-
-
-def small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
-
 
 def terms(text: Column) -> Column:
     return split_words(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS)

@@ -21,15 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import split_words, stored
-
-#: Rows up to which a side with integer columns is broadcast (a few MB); beyond, the join shuffles.
-SMALL = 100_000
-
-
-def small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
-
+from .common import forget, small, split_words, stored
 
 def lines_of(docs: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
     """doc, line, w (words) of every line long enough."""
@@ -37,8 +29,13 @@ def lines_of(docs: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
     return split.select("doc", "line", split_words(F.col("t")).alias("w")).where(F.size("w") >= min_words)
 
 
+def word_hashes(w: str) -> Column:
+    """Variants and halves are hashed over these, which takes a fraction of the time of hashing text again and again."""
+    return F.transform(w, lambda x: F.xxhash64(x))
+
+
 def half_keys(w: str) -> Column:
-    """Hashes of the first and last halves of a line, under each cut that it shares with lines one word longer or shorter."""
+    """Hashes of the first and last halves of a line's word hashes, under each cut that it shares with lines one word longer or shorter."""
     n = F.size(w)
     cut = F.floor(n / 4).cast("int") * 2
     cuts = F.when(n % 4 == 0, F.array(cut, cut - 2)).otherwise(F.array(cut))
@@ -56,11 +53,17 @@ def edits_at_most_one(a: str, b: str) -> Column:
 
 def near_lines(firsts: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
     """h of the distinct lines that have an earlier one within one edit. firsts: h, at (doc, line) of the lines to try."""
-    wanted = small(firsts.select(F.col("at.doc").alias("doc"), F.col("at.line").alias("line"), "h"))
-    found = stored(lines_of(docs, key, text, 1).join(wanted, ["doc", "line"]).dropDuplicates(["h"]).select("h", F.struct("doc", "line").alias("at"), "w"), "near-lines")
-    whole = F.struct(F.lit(-1).alias("place"), F.xxhash64("w").alias("rest"))
-    lacking = F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.struct(i.alias("place"), F.xxhash64(F.concat(F.slice("w", F.lit(1), i - 1), F.slice("w", i + 1, F.size("w")))).alias("rest")))
-    variants = found.select("h", "at", F.inline(F.concat(F.array(whole), lacking)))
+    wanted = stored(firsts.groupBy(F.col("at.doc").alias("doc")).agg(F.collect_list(F.struct(F.col("at.line").alias("line"), "h")).alias("wanted")), "lines-to-try")
+    texts = docs.select(F.col(key).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(small(wanted), "doc")
+    lines = texts.select("doc", F.split("t", "\n").alias("t"), "wanted").select("doc", "t", F.inline("wanted"))
+    found = lines.select("h", F.struct("doc", "line").alias("at"), split_words(F.get("t", F.col("line"))).alias("w")).dropDuplicates(["h"])
+    found = stored(found.withColumn("hashes", word_hashes("w")), "near-lines")
+    whole = F.struct(F.lit(-1).alias("place"), F.xxhash64("hashes").alias("rest"))
+    lacking = F.transform(F.sequence(F.lit(1), F.size("hashes")), lambda i: F.struct(i.alias("place"), F.xxhash64(F.concat(F.slice("hashes", F.lit(1), i - 1), F.slice("hashes", i + 1, F.size("hashes")))).alias("rest")))
+    every = stored(found.select("h", "at", F.inline(F.concat(F.array(whole), lacking))), "variants")
+    met = stored(every.groupBy("rest").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a < b").select("rest"), "met-variants")
+    variants = stored(every.join(small(met), "rest", "left_semi"), "variants")
+    forget(every)
     same_place = variants.where("place > 0").groupBy("rest", "place").agg(F.min("at").alias("first"), F.max("at").alias("last")).where("first < last").select("rest", "place", "first")
     replaced = variants.join(same_place, ["rest", "place"]).where(F.col("at") > F.col("first")).select("h", F.col("first").alias("earlier"))
     both = variants.groupBy("rest").agg(F.min(F.when(F.col("place") < 0, F.col("at"))).alias("whole"), F.min(F.when(F.col("place") > 0, F.col("at"))).alias("lacking")).where("whole IS NOT NULL AND lacking IS NOT NULL")
@@ -72,12 +75,12 @@ def near_lines(firsts: DataFrame, docs: DataFrame, key: str, text: str) -> DataF
 
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 5) -> DataFrame:
     """doc, line of every line that goes."""
-    filed = lines_of(docs, key, text, min_words).select("doc", "line", F.xxhash64("w").alias("h"), half_keys("w").alias("keys"))
-    filed = stored(filed, "lines")
+    hashed = lines_of(docs, key, text, min_words).select("doc", "line", word_hashes("w").alias("w"))
+    filed = stored(hashed.select("doc", "line", F.xxhash64("w").alias("h"), half_keys("w").alias("keys")), "lines")
     firsts = filed.groupBy("h").agg(F.min(F.struct("doc", "line")).alias("at"))
     halves = filed.select("h", F.explode("keys").alias("k"))
-    shared = halves.groupBy("k").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a < b").select("k")
-    close = halves.join(shared, "k", "left_semi").select("h").distinct()
+    shared = stored(halves.groupBy("k").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a < b").select("k"), "shared-halves")
+    close = halves.join(small(shared), "k", "left_semi").select("h").distinct()
     near = near_lines(firsts.join(close, "h", "left_semi"), docs, key, text).withColumn("near", F.lit(True))
     judged = firsts.join(near, "h", "left").select("h", "at", F.coalesce("near", F.lit(False)).alias("near"))
     here = F.struct("doc", "line")
@@ -87,10 +90,10 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 5) -> DataFrame:
     """The input rows and columns with duplicate lines taken out of text, and n_lines_removed."""
     gone = removed_lines(docs, key, text, min_words).distinct().groupBy("doc").agg(F.sort_array(F.collect_list("line")).alias("gone"))
-    gone = small(stored(gone.withColumnRenamed("doc", "gone_doc"), "removed-lines"))
+    gone = stored(gone.withColumnRenamed("doc", "gone_doc"), "removed-lines")
     # for each line up to the last that goes: whether it stays
     stays = F.flatten(F.transform("gone", lambda x, k: F.concat(F.array_repeat(F.lit(True), x - F.coalesce(F.get("gone", k - 1), F.lit(-1)) - 1), F.array(F.lit(False)))))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("row_key"), F.col(text).alias("t")).join(gone, F.col("row_key") == F.col("gone_doc"), "left")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("row_key"), F.col(text).alias("t")).join(small(gone), F.col("row_key") == F.col("gone_doc"), "left")
     rows = rows.withColumn("stays", stays)
     kept = F.when(F.col("gone").isNull(), F.col("t")).otherwise(F.array_join(F.filter(F.split("t", "\n"), lambda line, i: F.coalesce(F.get("stays", i), F.lit(True))), "\n"))
     made = F.struct(kept.alias("kept"), F.greatest(F.coalesce(F.size("gone"), F.lit(0)), F.lit(0)).alias("n_lines_removed"))
