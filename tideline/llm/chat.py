@@ -56,7 +56,9 @@ def features(lines: list[str]) -> list[tuple[int, list[str]]]:
         if line.strip():
             role, rest = marker(line)
             size = min(3, int(math.log2(1 + len(rest.strip()) / 40)))
-            out.append((i, [f"marker {role}", f"gap {blank}" if i else "gap first", f"size {size}", f"asks {rest.rstrip().endswith('?')}"]))
+            gap = "first" if i == 0 else "gap" if blank else "none"
+            # marker and gap are one feature: where markers are used, a plain line after no gap begins no turn
+            out.append((i, [f"marker {role} {gap}", f"size {size}", f"asks {rest.rstrip().endswith('?')}"]))
             blank = False
         else:
             blank = True
@@ -68,7 +70,7 @@ def emission(model: Model, found: list[str]) -> np.ndarray:
     for f in found:
         if f in model.emit:
             score = score + model.emit[f]
-    role = found[0].removeprefix("marker ")
+    role = found[0].split(" ")[1]
     if role:  # a marker names its role; only a likelier reading as plain text can win
         score = score + np.array([0.0 if r == role and s == 0 else -6.0 for r in ROLES for s in (0, 1)])
     return score
