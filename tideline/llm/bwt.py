@@ -29,15 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import forget, stored, total_bytes
+from .common import forget, stored
 
 GRAM = 24
 #: Offsets of a minimizer in a string that share a core; suffixes merged at a time; records before a task hands on what it has.
-OFFSETS, MERGE, FLUSH = 10, 4 << 20, 2 << 20
-#: Bytes of packed spans up to which they are broadcast, once measured.
-SMALL_BYTES = 24 << 20
+OFFSETS, MERGE, FLUSH = 4, 1 << 20, 300_000
 #: Longest piece of a text that is hashed at once; pieces overlap by width - 1.
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 RECORD = np.dtype([("gram", "<u8"), ("body", "<u8"), ("doc", "<i8"), ("start", "<i8"), ("strings", "<i2"), ("offset", "<i2")])
 SPAN = np.dtype([("start", "<i8"), ("end", "<i8")])
 
@@ -149,48 +147,48 @@ def shard_transform(pieces: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, n
     text[ends] = np.arange(len(pieces)) - len(pieces)
     order = suffix_order(text)
     before = np.where(place[order] == 0, 0, np.where(text[order - 1] >= 0, text[order - 1] + 1, 0))
-    return before.astype(np.uint16), owner[order], place[order]
+    return before.astype(np.uint8), owner[order], place[order]  # UTF-8 has no byte 255
 
 
 def merge_transforms(transforms: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """The interleave (shard of each suffix in merged order) and the common prefix of each suffix with the one before it, both up to ``width`` bytes.
+    """The interleave (suffixes, numbered shard after shard, in merged order) and the common prefix of each with the one before it, both up to ``width`` bytes.
 
-    A round walks the suffixes in the order so far and files each under the symbol before it: the order by one more
-    symbol. Two neighbours differ now when their symbols do or their old neighbours did. Terminators come first, in
-    the order of shards and pieces, and all differ.
+    A round walks the suffixes in the order so far and files each one's predecessor, which its shard's transform gives,
+    under the symbol before it: the order by one more symbol. Two neighbours differ now when their symbols do or
+    those they came from did. Terminators come first, in the order of shards and pieces, and all differ.
     """
-    shard = np.repeat(np.arange(len(transforms)), [len(t) for t in transforms]).astype(np.int16)
-    n = len(shard)
-    block = np.zeros(n, dtype=np.int32)
+    symbols, n = np.concatenate(transforms), sum(map(len, transforms))
+    before, ended, base = np.empty(n, dtype=np.int32), [], 0
+    for t in transforms:
+        before[base + np.argsort(t, kind="stable")] = base + np.arange(len(t), dtype=np.int32)
+        ended.append(base + np.arange(int((t == 0).sum()), dtype=np.int32))
+        base += len(t)
+    ended = np.concatenate(ended)
+    k = len(ended)
+    merged, block = np.arange(n, dtype=np.int32), np.zeros(n, dtype=np.int32)
     common = np.full(n, width, dtype=np.int16)
     common[0] = 0
-    ended = np.repeat(np.arange(len(transforms)), [int((t == 0).sum()) for t in transforms]).astype(np.int16)
-    symbols, k = np.empty(n, dtype=np.uint16), len(ended)
+    differ = np.empty(n, dtype=bool)
     for done in range(width):
-        for s, t in enumerate(transforms):
-            symbols[shard == s] = t
-        order = np.argsort(symbols, kind="stable")
-        shard = shard[order]
-        shard[:k] = ended
-        now, old = symbols[order], block[order]
-        differ = np.empty(n, dtype=bool)
-        differ[0] = True
-        np.not_equal(now[1:], now[:-1], out=differ[1:])
-        differ[1:] |= old[1:] != old[:-1]
+        now = symbols[merged]
+        order = np.argsort(now, kind="stable")
+        now, block, merged = now[order], block[order], before[merged[order]]
+        merged[:k] = ended
+        np.not_equal(block[1:], block[:-1], out=differ[1:])
+        differ[1:] |= now[1:] != now[:-1]
         differ[: k + 1] = True
         common[differ & (common == width)] = done
-        block = np.cumsum(differ, dtype=np.int32)
-    return shard, common
+        np.cumsum(differ, dtype=np.int32, out=block)
+    return merged, common
 
 
 def repeated(pieces: list[np.ndarray], where: np.ndarray, width: int, shards: int = 4) -> np.ndarray:
     """(piece, place) of every string that also starts earlier. where: (doc, start) of each piece."""
     deal = [np.arange(s, len(pieces), shards) for s in range(min(shards, len(pieces)))]
     made = [shard_transform([pieces[i] for i in d]) for d in deal]
-    shard, common = merge_transforms([m[0] for m in made], width)
-    piece, place = np.empty(len(shard), dtype=np.int64), np.empty(len(shard), dtype=np.int64)
-    for s, (d, m) in enumerate(zip(deal, made)):
-        piece[shard == s], place[shard == s] = d[m[1]], m[2]
+    merged, common = merge_transforms([m[0] for m in made], width)
+    piece = np.concatenate([d[m[1]] for d, m in zip(deal, made)])[merged]
+    place = np.concatenate([m[2] for m in made])[merged]
     interval = np.cumsum(common < width)
     sizes = np.array([len(p) for p in pieces])
     whole = np.flatnonzero(place + width <= sizes[piece])
@@ -258,19 +256,13 @@ def _span_rows(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[
     yield pa.RecordBatch.from_arrays([pa.array(doc[cuts]), pa.array(packed, pa.binary())], names=["doc", "spans"])
 
 
-def _with(docs: DataFrame, packs: DataFrame, how: str) -> DataFrame:
-    """docs (doc, text) joined with packed rows a document, broadcast when their measured size allows."""
-    _, size = total_bytes(packs, *[f.name for f in packs.schema if f.dataType == T.BinaryType()])
-    return docs.join(F.broadcast(packs) if size <= SMALL_BYTES and packs.count() <= 250_000 else packs, "doc", how)
-
-
 def repeated_spans(firsts: DataFrame, width: int) -> DataFrame:
     """doc, spans (packed) of what goes from first texts. firsts: doc, text."""
     size = firsts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = max(16, int(size >> 25))
+    ranges = max(16, int(size >> 23))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows: range (or -1: spans that go already), doc, and packed records or spans."""
+        """Rows: range and packed records; or a negative number, doc and the spans of it that go already."""
         held: list[np.ndarray] = []
 
         def hand_on():
@@ -288,7 +280,7 @@ def repeated_spans(firsts: DataFrame, width: int) -> DataFrame:
 
         def gone(s):
             for rows in _span_rows(s["doc"], s["start"], s["start"] + s["strings"] + (width - 1)):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), -1)), rows.column(0), rows.column(1)], names=["part", "doc", "pack"])
+                yield pa.RecordBatch.from_arrays([pa.array(-1 - rows.column(0).to_numpy() % ranges), rows.column(0), rows.column(1)], names=["part", "doc", "pack"])
 
         n = 0
         for batch in batches:
@@ -303,13 +295,18 @@ def repeated_spans(firsts: DataFrame, width: int) -> DataFrame:
         if held:
             yield from hand_on()
 
-    cuts = stored(firsts.mapInArrow(cut, "part long, doc long, pack binary"), "snippets")
+    cuts = firsts.mapInArrow(cut, "part long, doc long, pack binary")
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of each range: spans of later members of a class (kind 0), and records of first members whose minimizer has other classes (kind 1)."""
         for batch in batches:
-            for packs in batch.column("packs"):
-                s, new = classes(np.concatenate([np.frombuffer(p.as_py(), dtype=RECORD) for p in packs.values]))
+            for part, packs in zip(batch.column("part").to_pylist(), batch.column("packs")):
+                if part < 0:
+                    own = packs.values
+                    yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(own), dtype=np.int32)), own.field("doc"), own.field("pack")], names=["kind", "doc", "pack"])
+                    continue
+                packs = packs.values.field("pack")
+                s, new = classes(np.concatenate([np.frombuffer(p.as_py(), dtype=RECORD) for p in packs]))
                 later, first = s[~new], s[new]
                 change = np.flatnonzero(np.concatenate([[True], first["gram"][1:] != first["gram"][:-1]]))
                 count = np.diff(np.concatenate([change, [len(first)]]))
@@ -322,21 +319,23 @@ def repeated_spans(firsts: DataFrame, width: int) -> DataFrame:
                 stop = np.concatenate([at[1:], [len(mixed)]]).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(at), dtype=np.int32)), pa.array(mixed["doc"][at]), pa.array([mixed[a:b].tobytes() for a, b in zip(at, stop)], pa.binary())], names=["kind", "doc", "pack"])
 
-    grouped = cuts.where("part >= 0").groupBy("part").agg(F.collect_list("pack").alias("packs"))
+    grouped = cuts.groupBy("part").agg(F.collect_list(F.struct("doc", "pack")).alias("packs"))
     settled = stored(grouped.mapInArrow(settle, "kind int, doc long, pack binary"), "settled")
-    mixed = stored(settled.where("kind = 1").groupBy("doc").agg(F.collect_list("pack").alias("packs")).select("doc", F.aggregate("packs", F.lit(b""), lambda a, p: F.concat(a, p)).alias("records")), "mixed")
+    mixed = stored(settled.where("kind = 1").groupBy("doc").agg(F.collect_list("pack").alias("records")), "mixed")
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The bytes of the snippets that need merging."""
         for batch in batches:
+            parts, taken, bodies = [], [], []
             for text, packed in zip(batch.column("text"), batch.column("records")):
-                data, r = text.as_py().encode("utf-8", "surrogatepass"), np.frombuffer(packed.as_py(), dtype=RECORD)
-                bodies = [data[a:b] for a, b in zip(r["start"].tolist(), (r["start"] + r["strings"] + (width - 1)).tolist())]
-                part = (_mix(r["gram"] ^ np.uint64(0xA5A5A5A5)) >> np.uint64(1)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array([x.tobytes() for x in r], pa.binary()), pa.array(bodies, pa.binary())], names=["part", "record", "body"])
+                data, r = text.as_py().encode("utf-8", "surrogatepass"), np.frombuffer(b"".join(packed.as_py()), dtype=RECORD)
+                bodies += [data[a:b] for a, b in zip(r["start"].tolist(), (r["start"] + r["strings"] + (width - 1)).tolist())]
+                parts.append((_mix(r["gram"] ^ np.uint64(0xA5A5A5A5)) >> np.uint64(1)).astype(np.int64))
+                taken += [x.tobytes() for x in r]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts) if parts else np.empty(0, np.int64)), pa.array(taken, pa.binary()), pa.array(bodies, pa.binary())], names=["part", "record", "body"])
 
-    amount = total_bytes(mixed, "records")[1] // RECORD.itemsize * 140
-    bodies = _with(firsts, mixed, "inner").mapInArrow(take, "part long, record binary, body binary").repartition(max(16, int(amount >> 22)), "part").sortWithinPartitions("part")
+    amount = (mixed.agg(F.sum(F.aggregate("records", F.lit(0).cast("long"), lambda a, p: a + F.octet_length(p)))).first()[0] or 0) // RECORD.itemsize * 140
+    bodies = firsts.join(mixed, "doc").mapInArrow(take, "part long, record binary, body binary").repartition(max(16, int(amount >> 22)), "part").sortWithinPartitions("part")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Snippets of one minimizer stay together; others are gathered up to MERGE bytes."""
@@ -360,9 +359,9 @@ def repeated_spans(firsts: DataFrame, width: int) -> DataFrame:
             yield from finish()
 
     found = bodies.mapInArrow(merge, "doc long, spans binary")
-    every = found.unionByName(cuts.where("part < 0").select("doc", F.col("pack").alias("spans"))).unionByName(settled.where("kind = 0").select("doc", F.col("pack").alias("spans")))
-    out = stored(every.groupBy("doc").agg(F.collect_list("spans").alias("all")).select("doc", F.aggregate("all", F.lit(b""), lambda a, p: F.concat(a, p)).alias("spans")), "spans")
-    for table in (cuts, settled, mixed):
+    every = found.unionByName(settled.where("kind = 0").select("doc", F.col("pack").alias("spans")))
+    out = stored(every.groupBy("doc").agg(F.collect_list("spans").alias("spans")), "spans")
+    for table in (settled, mixed):
         forget(table)
     return out
 
@@ -386,7 +385,7 @@ def remove_repeats(docs: DataFrame, width: int = 100, key: str = "doc_id", text:
                 if first is not None:
                     s = np.array([(0, len(data))], dtype=SPAN)
                 else:
-                    s = np.frombuffer(packed or b"", dtype=SPAN)
+                    s = np.frombuffer(b"".join(packed or []), dtype=SPAN)
                     s = merged_spans(s["start"], s["end"])
                 at, left = 0, []
                 for a, b in s.tolist():
@@ -395,7 +394,7 @@ def remove_repeats(docs: DataFrame, width: int = 100, key: str = "doc_id", text:
                 size.append(len(data)), gone.append(int((s["end"] - s["start"]).sum())), runs.append(len(s)), kept.append(b"".join([*left, data[at:]]))
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary()), batch.column("first")], names=["doc", "n_bytes", "n_removed", "n_spans", "kept", "copy_of"])
 
-    made = _with(marked, spans, "left").mapInArrow(apply, "doc long, n_bytes long, n_removed long, n_spans long, kept binary, copy_of long")
+    made = marked.join(spans, "doc", "left").mapInArrow(apply, "doc long, n_bytes long, n_removed long, n_spans long, kept binary, copy_of long")
     return made.select(F.col("doc").alias(key), "n_bytes", "n_removed", "n_spans", "kept", "copy_of")
 
 
