@@ -7,6 +7,8 @@ same text). Strings never cross documents and are judged on the input.
 2. every string of ``width`` bytes belongs to the least-hashed gram inside it (its minimizer), so equal strings have
    equal minimizers at equal offsets. The strings of one minimizer occurrence form a snippet. Snippets that are equal
    altogether are one class, of which all but the first go; a class whose minimizer no other class has is settled;
+   A minimizer that very many classes share has its snippets cut into a few neighbouring strings each, filed under the
+   bytes that these share, and settled again: what is left of a passage that is everywhere is the variety of its margins;
 3. first snippets of the other classes meet by minimizer. A task cuts them into pieces whose cores occur twice, deals the
    pieces into shards, builds each shard's transform, and merges the transforms by refining their interleave: one
    round orders the suffixes by one more byte and marks where neighbours first differ, which is their common prefix.
@@ -29,13 +31,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import forget, stored
+from .common import forget, join_texts, small, stored
 
 GRAM = 24
 #: Offsets of a minimizer in a string that share a core; suffixes merged at a time; records before a task hands on what it has.
 OFFSETS, MERGE, FLUSH = 4, 1 << 20, 300_000
 #: Longest piece of a text that is hashed at once; pieces overlap by width - 1.
 CHUNK = 1 << 20
+#: Classes of a minimizer in one task, and in all, beyond which its snippets are cut finer before they meet.
+LOCAL_CROWD, CROWD = 64, 1000
+#: Kinds of settled rows.
+GONE, MIXED, HOT = 0, 1, 2
 RECORD = np.dtype([("gram", "<u8"), ("body", "<u8"), ("doc", "<i8"), ("start", "<i8"), ("strings", "<i2"), ("offset", "<i2")])
 SPAN = np.dtype([("start", "<i8"), ("end", "<i8")])
 
@@ -207,15 +213,9 @@ def pieces_of(records: np.ndarray, bodies: list[bytes], width: int) -> tuple[lis
     sizes = np.array([len(b) for b in bodies])
     base = np.cumsum(sizes) - sizes
     hashes = Hashes(data)
-    high = records["offset"].astype(np.int64)  # the first string has the minimizer furthest in
-    low = high - records["strings"] + 1
-    groups = high // OFFSETS - low // OFFSETS + 1
-    row = np.repeat(np.arange(len(records)), groups)
-    group = low[row] // OFFSETS + np.arange(len(row)) - np.repeat(np.cumsum(groups) - groups, groups)
-    gram_at = base[row] + high[row]
-    # strings with offsets group*OFFSETS .. +OFFSETS-1 all hold these bytes, and so does the snippet
-    reach_low, reach_high = np.maximum(group * OFFSETS, low[row]), np.minimum(group * OFFSETS + OFFSETS - 1, high[row])
-    core = hashes.of(np.maximum(gram_at - group * OFFSETS, base[row]), np.minimum(gram_at + width - np.minimum((group + 1) * OFFSETS - 1, width - min(GRAM, width)), base[row] + sizes[row]))
+    high = records["offset"].astype(np.int64)
+    row, group, reach_low, reach_high = offset_groups(records)
+    core = hashes.of(*core_of(base[row] + high[row], group, width))
     key = _mix(core ^ _mix(records["gram"][row] + group.astype(np.uint64)))
     _, back, count = np.unique(key, return_inverse=True, return_counts=True)
     keep = np.flatnonzero(count[back] > 1)
@@ -256,72 +256,138 @@ def _span_rows(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[
     yield pa.RecordBatch.from_arrays([pa.array(doc[cuts]), pa.array(packed, pa.binary())], names=["doc", "spans"])
 
 
-def repeated_spans(firsts: DataFrame, width: int) -> DataFrame:
-    """doc, spans (packed) of what goes from first texts. firsts: doc, text."""
-    size = firsts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = max(16, int(size >> 23))
+def finer(data: bytes, records: np.ndarray, width: int) -> np.ndarray:
+    """The records of one text cut into the strings of OFFSETS neighbouring minimizer offsets, each filed under what all of them share."""
+    hashes = Hashes(np.frombuffer(data, dtype=np.uint8))
+    row, group, reach_low, reach_high = offset_groups(records)
+    at = records["start"][row] + records["offset"][row]
+    core = hashes.of(*core_of(at, group, width))
+    out = records[row].copy()
+    out["start"] = at - reach_high
+    out["strings"], out["offset"] = reach_high - reach_low + 1, reach_high
+    out["gram"] = _mix(core ^ _mix(records["gram"][row] + group.astype(np.uint64)))
+    out["body"] = hashes.of(out["start"], out["start"] + out["strings"] + (width - 1))
+    return out
+
+
+def offset_groups(records: np.ndarray) -> tuple[np.ndarray, ...]:
+    """For each record and each group of OFFSETS minimizer offsets among its strings: row, group, least and largest offset."""
+    high = records["offset"].astype(np.int64)  # the first string has the minimizer furthest in
+    low = high - records["strings"] + 1
+    groups = high // OFFSETS - low // OFFSETS + 1
+    row = np.repeat(np.arange(len(records)), groups)
+    group = low[row] // OFFSETS + np.arange(len(row)) - np.repeat(np.cumsum(groups) - groups, groups)
+    return row, group, np.maximum(group * OFFSETS, low[row]), np.minimum(group * OFFSETS + OFFSETS - 1, high[row])
+
+
+def core_of(at: np.ndarray, group: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the bytes begin and end that all strings of a group share. at: places of the minimizers."""
+    return at - group * OFFSETS, at + width - np.minimum((group + 1) * OFFSETS - 1, width - min(GRAM, width))
+
+
+def _by_doc(kind: int, records: np.ndarray) -> pa.RecordBatch:
+    """Rows of doc and its packed records."""
+    records = records[np.argsort(records["doc"], kind="stable")]
+    cuts = np.flatnonzero(np.concatenate([[True], records["doc"][1:] != records["doc"][:-1]])) if len(records) else np.empty(0, dtype=np.int64)
+    stops = np.concatenate([cuts[1:], [len(records)]]).astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(cuts), kind, dtype=np.int32)), pa.array(records["doc"][cuts]), pa.array([records[a:b].tobytes() for a, b in zip(cuts, stops)], pa.binary())], names=["kind", "doc", "pack"])
+
+
+def _spans_by_doc(later: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
+    for rows in _span_rows(later["doc"], later["start"], later["start"] + later["strings"] + (width - 1)):
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), GONE, dtype=np.int32)), rows.column(0), rows.column(1)], names=["kind", "doc", "pack"])
+
+
+def _routed(batch: pa.RecordBatch, ranges: int) -> pa.RecordBatch:
+    """Rows that only pass through the shuffle."""
+    return pa.RecordBatch.from_arrays([pa.array(-1 - batch.column("doc").to_numpy() % ranges), *batch.columns], names=["part", *batch.schema.names])
+
+
+def _grams(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where a gram begins in sorted records, and how many it has."""
+    change = np.flatnonzero(np.concatenate([[True], records["gram"][1:] != records["gram"][:-1]])) if len(records) else np.empty(0, dtype=np.int64)
+    return change, np.diff(np.concatenate([change, [len(records)]])).astype(np.int64)
+
+
+def settle(texts: DataFrame, made, width: int, ranges: int, hot: bool) -> DataFrame:
+    """kind, doc, pack of texts: what goes already (GONE: spans), what must be merged (MIXED: records), and records of crowded minimizers (HOT).
+
+    made: the records of a row of a batch. Each task settles the classes that it sees first and passes on one record of each,
+    so a class that is everywhere costs a record a task. With ``hot``, a minimizer with many classes in one task passes on
+    only a mark, and one with many classes in all isn't merged as it is: its records come back as HOT.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows: range and packed records; or a negative number, doc and the spans of it that go already."""
         held: list[np.ndarray] = []
 
         def hand_on():
             s, new = classes(np.concatenate(held))
             held.clear()
-            yield from gone(s[~new])
+            yield from (_routed(b, ranges) for b in _spans_by_doc(s[~new], width))
             s = s[new]
-            of = (_mix(s["gram"]) >> np.uint64(11)).astype(np.float64) / float(1 << 53)
-            of = np.minimum((of * ranges).astype(np.int64), ranges - 1)
+            if hot:
+                change, count = _grams(s)
+                crowded = np.repeat(count > LOCAL_CROWD, count)
+                yield _routed(_by_doc(HOT, s[crowded]), ranges)
+                mark = s[change[count > LOCAL_CROWD]].copy()
+                mark["strings"] = 0
+                s = np.concatenate([s[~crowded], mark])
+            of = np.minimum(((_mix(s["gram"]) >> np.uint64(11)).astype(np.float64) / float(1 << 53) * ranges).astype(np.int64), ranges - 1)
             order = np.argsort(of, kind="stable")
             s, of = s[order], of[order]
-            cuts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+            cuts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else np.empty(0, dtype=np.int64)
             stops = np.concatenate([cuts[1:], [len(of)]]).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(of[cuts]), pa.nulls(len(cuts), pa.int64()), pa.array([s[a:b].tobytes() for a, b in zip(cuts, stops)], pa.binary())], names=["part", "doc", "pack"])
-
-        def gone(s):
-            for rows in _span_rows(s["doc"], s["start"], s["start"] + s["strings"] + (width - 1)):
-                yield pa.RecordBatch.from_arrays([pa.array(-1 - rows.column(0).to_numpy() % ranges), rows.column(0), rows.column(1)], names=["part", "doc", "pack"])
+            packs = pa.array([s[a:b].tobytes() for a, b in zip(cuts, stops)], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(of[cuts]), pa.array(np.full(len(cuts), MIXED, dtype=np.int32)), pa.nulls(len(cuts), pa.int64()), packs], names=["part", "kind", "doc", "pack"])
 
         n = 0
         for batch in batches:
-            for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text")):
-                made = snippets((text.as_py() or "").encode("utf-8", "surrogatepass"), width, doc)
-                if len(made):
-                    held.append(made)
-                    n += len(made)
+            for k in range(batch.num_rows):
+                records = made(batch, k)
+                if len(records):
+                    held.append(records)
+                    n += len(records)
                 if n >= FLUSH:
                     yield from hand_on()
                     n = 0
         if held:
             yield from hand_on()
 
-    cuts = firsts.mapInArrow(cut, "part long, doc long, pack binary")
-
-    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of each range: spans of later members of a class (kind 0), and records of first members whose minimizer has other classes (kind 1)."""
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, packs in zip(batch.column("part").to_pylist(), batch.column("packs")):
+                own = packs.values
                 if part < 0:
-                    own = packs.values
-                    yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(own), dtype=np.int32)), own.field("doc"), own.field("pack")], names=["kind", "doc", "pack"])
+                    yield pa.RecordBatch.from_arrays([own.field(c) for c in ("kind", "doc", "pack")], names=["kind", "doc", "pack"])
                     continue
-                packs = packs.values.field("pack")
-                s, new = classes(np.concatenate([np.frombuffer(p.as_py(), dtype=RECORD) for p in packs]))
-                later, first = s[~new], s[new]
-                change = np.flatnonzero(np.concatenate([[True], first["gram"][1:] != first["gram"][:-1]]))
-                count = np.diff(np.concatenate([change, [len(first)]]))
-                mixed = first[np.repeat(count > 1, count)]
-                for rows in _span_rows(later["doc"], later["start"], later["start"] + later["strings"] + (width - 1)):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(rows), dtype=np.int32)), rows.column(0), rows.column(1)], names=["kind", "doc", "pack"])
-                order = np.argsort(mixed["doc"], kind="stable")
-                mixed = mixed[order]
-                at = np.flatnonzero(np.concatenate([[True], mixed["doc"][1:] != mixed["doc"][:-1]])) if len(mixed) else np.empty(0, dtype=np.int64)
-                stop = np.concatenate([at[1:], [len(mixed)]]).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(at), dtype=np.int32)), pa.array(mixed["doc"][at]), pa.array([mixed[a:b].tobytes() for a, b in zip(at, stop)], pa.binary())], names=["kind", "doc", "pack"])
-
-    grouped = cuts.groupBy("part").agg(F.collect_list(F.struct("doc", "pack")).alias("packs"))
-    settled = stored(grouped.mapInArrow(settle, "kind int, doc long, pack binary"), "settled")
-    mixed = stored(settled.where("kind = 1").groupBy("doc").agg(F.collect_list("pack").alias("records")), "mixed")
+                records = np.concatenate([np.frombuffer(p.as_py(), dtype=RECORD) for p in own.field("pack")])
+                marked = records["gram"][records["strings"] == 0]
+                s, new = classes(records[records["strings"] > 0])
+                yield from _spans_by_doc(s[~new], width)
+                s = s[new]
+                change, count = _grams(s)
+                crowded = np.isin(s["gram"][change], marked) | (hot & (count > CROWD))
+                yield _by_doc(HOT, s[np.repeat(crowded, count)])
+                yield _by_doc(MIXED, s[np.repeat(~crowded & (count > 1), count)])
+
+    rows = texts.mapInArrow(cut, "part long, kind int, doc long, pack binary")
+    grouped = rows.groupBy("part").agg(F.collect_list(F.struct("kind", "doc", "pack")).alias("packs"))
+    return stored(grouped.mapInArrow(decide, "kind int, doc long, pack binary"), "settled")
+
+
+def repeated_spans(firsts: DataFrame, width: int) -> DataFrame:
+    """doc, spans (packed) of what goes from first texts. firsts: doc, text."""
+    size = firsts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = max(16, int(size >> 23))
+    text_of = lambda batch, k: (batch.column("text")[k].as_py() or "").encode("utf-8", "surrogatepass")
+    listed = lambda df, kind: stored(df.where(F.col("kind") == kind).groupBy("doc").agg(F.collect_list("pack").alias("records")), "records")
+    settled = settle(firsts, lambda batch, k: snippets(text_of(batch, k), width, batch.column("doc")[k].as_py()), width, ranges, True)
+    hot = listed(settled, HOT)
+    if not hot.isEmpty():
+        again = join_texts(firsts, hot, "doc")
+        cut_again = lambda batch, k: finer(text_of(batch, k), np.frombuffer(b"".join(batch.column("records")[k].as_py()), dtype=RECORD), width)
+        settled = settled.where(F.col("kind") != HOT).unionByName(settle(again, cut_again, width, ranges, False))
+    mixed = listed(settled, MIXED)
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The bytes of the snippets that need merging."""
@@ -335,7 +401,7 @@ def repeated_spans(firsts: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts) if parts else np.empty(0, np.int64)), pa.array(taken, pa.binary()), pa.array(bodies, pa.binary())], names=["part", "record", "body"])
 
     amount = (mixed.agg(F.sum(F.aggregate("records", F.lit(0).cast("long"), lambda a, p: a + F.octet_length(p)))).first()[0] or 0) // RECORD.itemsize * 140
-    bodies = firsts.join(mixed, "doc").mapInArrow(take, "part long, record binary, body binary").repartition(max(16, int(amount >> 22)), "part").sortWithinPartitions("part")
+    bodies = join_texts(firsts, mixed, "doc").mapInArrow(take, "part long, record binary, body binary").repartition(max(16, int(amount >> 22)), "part").sortWithinPartitions("part")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Snippets of one minimizer stay together; others are gathered up to MERGE bytes."""
@@ -359,10 +425,9 @@ def repeated_spans(firsts: DataFrame, width: int) -> DataFrame:
             yield from finish()
 
     found = bodies.mapInArrow(merge, "doc long, spans binary")
-    every = found.unionByName(settled.where("kind = 0").select("doc", F.col("pack").alias("spans")))
+    every = found.unionByName(settled.where(F.col("kind") == GONE).select("doc", F.col("pack").alias("spans")))
     out = stored(every.groupBy("doc").agg(F.collect_list("spans").alias("spans")), "spans")
-    for table in (settled, mixed):
-        forget(table)
+    forget(mixed)
     return out
 
 
@@ -370,10 +435,9 @@ def remove_repeats(docs: DataFrame, width: int = 100, key: str = "doc_id", text:
     """Per row: key, n_bytes, n_removed, n_spans, kept (binary) and copy_of (the first document with the same text)."""
     read = docs.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     digests = stored(read.where(F.octet_length("text") >= width).select("doc", F.sha2("text", 256).alias("digest")), "digests")
-    groups = digests.groupBy("digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
-    copies = stored(digests.join(groups, "digest").where("doc > first").select("doc", "first").distinct(), "copies")
-    few = copies.limit(200_001).count() <= 200_000
-    marked = read.join(F.broadcast(copies) if few else copies, "doc", "left")
+    groups = stored(digests.groupBy("digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").select("digest", "first"), "copied-texts")
+    copies = stored(digests.join(small(groups), "digest").where("doc > first").select("doc", "first").distinct(), "copies")
+    marked = join_texts(read, copies, "doc", "left")
     firsts = marked.where(F.col("first").isNull() & F.col("doc").isNotNull() & (F.octet_length("text") >= width)).select("doc", "text")
     spans = repeated_spans(firsts, width)
 
@@ -394,7 +458,7 @@ def remove_repeats(docs: DataFrame, width: int = 100, key: str = "doc_id", text:
                 size.append(len(data)), gone.append(int((s["end"] - s["start"]).sum())), runs.append(len(s)), kept.append(b"".join([*left, data[at:]]))
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary()), batch.column("first")], names=["doc", "n_bytes", "n_removed", "n_spans", "kept", "copy_of"])
 
-    made = marked.join(spans, "doc", "left").mapInArrow(apply, "doc long, n_bytes long, n_removed long, n_spans long, kept binary, copy_of long")
+    made = join_texts(marked, spans, "doc", "left").mapInArrow(apply, "doc long, n_bytes long, n_removed long, n_spans long, kept binary, copy_of long")
     return made.select(F.col("doc").alias(key), "n_bytes", "n_removed", "n_spans", "kept", "copy_of")
 
 
