@@ -54,14 +54,41 @@ def forget(df: DataFrame) -> None:
 
 #: Bytes up to which a table is broadcast once it has been measured; beyond, its joins shuffle.
 BROADCAST_BYTES = 32 << 20
+#: Bitmaps of join_texts(), and bits of each, which Spark fixes.
+BITMAPS, BITMAP_BITS = 2048, 32768
 
 
-def small(df: DataFrame) -> DataFrame:
-    """df, marked for broadcast when its measured size allows. It is evaluated for that, so it should be stored or cheap."""
+def fits(df: DataFrame) -> bool:
+    """Whether df may be broadcast. It is evaluated for that, so it should be stored or cheap."""
     size = F.lit(64)
     for f in df.schema:
         kind = f.dataType.typeName()
         flat = kind == "array" and f.dataType.elementType.typeName() in ("integer", "long", "double")
         per = {"array": F.size(f.name) * (8 if flat else 48), "string": F.octet_length(f.name), "binary": F.octet_length(f.name)}.get(kind, F.lit(8))
         size = size + F.coalesce(per, F.lit(0))
-    return F.broadcast(df) if (df.agg(F.sum(size.cast("long"))).first()[0] or 0) <= BROADCAST_BYTES else df
+    return (df.agg(F.sum(size.cast("long"))).first()[0] or 0) <= BROADCAST_BYTES
+
+
+def small(df: DataFrame) -> DataFrame:
+    """df, marked for broadcast when its measured size allows."""
+    return F.broadcast(df) if fits(df) else df
+
+
+def join_texts(texts: DataFrame, keyed: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join long rows with a stored table on key (inner or left), moving as few of the long rows as can be.
+
+    A table that fits is broadcast. For a larger one, a bitmap over hashed keys, of 8 MB at any size, is broadcast
+    first: rows that it rules out are not shuffled. When it fills up it rules out less, and results stay the same.
+    """
+    if fits(keyed):
+        return texts.join(F.broadcast(keyed), key, how)
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(BITMAPS * BITMAP_BITS))
+    split = lambda h: (F.floor(h / BITMAP_BITS).cast("int").alias("_map"), (h % BITMAP_BITS).cast("int").alias("_bit"))
+    maps = stored(keyed.select(*split(place(F.col(key)))).groupBy("_map").agg(F.bitmap_construct_agg("_bit").alias("_bits")), "bitmaps")
+    marked = texts.select("*", *split(place(F.col(key)))).join(F.broadcast(maps), "_map", "left")  # BITMAPS rows of 4 KB at most
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.coalesce(F.shiftright(byte, 0).bitwiseAND(F.expr("shiftleft(1, _bit % 8)")) != 0, F.lit(False))
+    maybe = marked.where(held).select(*texts.columns).join(keyed, key, how)
+    if how == "inner":
+        return maybe
+    return maybe.unionByName(marked.where(~held).select(*texts.columns), allowMissingColumns=True)

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, small, split_words, stored
+from .common import ascii_lower, join_texts, small, split_words, stored
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -31,7 +31,7 @@ def build_index(docs: DataFrame, vocabulary: DataFrame | None = None, key: str =
     """
     rows = docs.select(F.col(key).alias("doc"), F.posexplode(F.concat(terms(F.col(text)), F.array(F.lit("")))).alias("pos", "term"))
     if vocabulary is not None:
-        wanted = vocabulary.select("term").unionByName(docs.sparkSession.createDataFrame([("",)], "term string")).distinct()
+        wanted = vocabulary.select("term").unionByName(docs.sparkSession.range(1).select(F.lit("").alias("term"))).distinct()
         rows = rows.join(small(wanted), "term")
     return stored(rows.select("term", "doc", "pos"), "postings")
 
@@ -94,15 +94,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, rares
     anchored = stored(rarest_anchors(index, items, window, rarest), "anchors")
     met = alignments(index, anchored).join(small(anchored.select("item", "words")), "item")
     by_doc = stored(met.groupBy("doc").agg(F.collect_list(F.struct("item", "delta", "wins", "words")).alias("met")), "alignments")
-    ids = small(by_doc.select(F.col("doc").alias("met_doc")))
-    texts = docs.select(F.col(key).alias("doc"), terms(F.col(text)).alias("own")).join(ids, F.col("doc") == F.col("met_doc"), "left_semi").dropDuplicates(["doc"])
-    both = texts.join(by_doc, "doc")
+    own = docs.select(F.col(key).alias("doc"), F.col(text).alias("own"))
+    both = join_texts(own, by_doc, "doc").select("doc", terms(F.col("own")).alias("own"), "met")
     same = lambda m, w: F.slice(F.col("own"), m["delta"] + w["start"] + 1, w["size"]) == F.slice(m["words"], w["start"] + 1, w["size"])
     inside = lambda m, w: (m["delta"] + w["start"] >= 0) & F.when(m["delta"] + w["start"] >= 0, same(m, w)).otherwise(F.lit(False))
     exact = F.filter(F.transform("met", lambda m: F.struct(m["item"].alias("item"), m["delta"].alias("delta"), F.filter(m["wins"], lambda w: inside(m, w)).alias("wins"))), lambda m: F.size(m["wins"]) > 0)
     hits = both.select("doc", F.inline_outer(F.array(F.struct(exact.alias("hits")))))  # a generator: lambdas below read it as a value
     covered = F.flatten(F.flatten(F.transform("hits", lambda m: F.transform(m["wins"], lambda w: F.sequence(m["delta"] + w["start"], m["delta"] + w["start"] + w["size"] - 1)))))
     found = hits.where(F.size("hits") > 0).select(F.col("doc").alias("hit_doc"), F.size(F.array_distinct(covered)).cast("long").alias("n_hit"), F.array_distinct(F.transform("hits", lambda m: m["item"])).alias("items"))
+    found = found.dropDuplicates(["hit_doc"])  # repeated rows have equal hits
     lengths = index.where("term = ''").select(F.col("doc").alias(key), F.col("pos").cast("long").alias("n_words"))
     empty = F.array().cast(found.schema["items"].dataType)
     return lengths.join(small(stored(found, "hits")), F.col(key) == F.col("hit_doc"), "left").select(key, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", empty).alias("items"))

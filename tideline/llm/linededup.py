@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, small, split_words, stored
+from .common import forget, join_texts, small, split_words, stored
 
 def lines_of(docs: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
     """doc, line, w (words) of every line long enough."""
@@ -54,7 +54,7 @@ def edits_at_most_one(a: str, b: str) -> Column:
 def near_lines(firsts: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
     """h of the distinct lines that have an earlier one within one edit. firsts: h, at (doc, line) of the lines to try."""
     wanted = stored(firsts.groupBy(F.col("at.doc").alias("doc")).agg(F.collect_list(F.struct(F.col("at.line").alias("line"), "h")).alias("wanted")), "lines-to-try")
-    texts = docs.select(F.col(key).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(small(wanted), "doc")
+    texts = join_texts(docs.select(F.col(key).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("t")), wanted, "doc")
     lines = texts.select("doc", F.split("t", "\n").alias("t"), "wanted").select("doc", "t", F.inline("wanted"))
     found = lines.select("h", F.struct("doc", "line").alias("at"), split_words(F.get("t", F.col("line"))).alias("w")).dropDuplicates(["h"])
     found = stored(found.withColumn("hashes", word_hashes("w")), "near-lines")
@@ -65,9 +65,11 @@ def near_lines(firsts: DataFrame, docs: DataFrame, key: str, text: str) -> DataF
     variants = stored(every.join(small(met), "rest", "left_semi"), "variants")
     forget(every)
     same_place = variants.where("place > 0").groupBy("rest", "place").agg(F.min("at").alias("first"), F.max("at").alias("last")).where("first < last").select("rest", "place", "first")
-    replaced = variants.join(same_place, ["rest", "place"]).where(F.col("at") > F.col("first")).select("h", F.col("first").alias("earlier"))
+    same_place = stored(same_place, "same-place")  # stored, so that the join below can split a variant that is everywhere
+    replaced = variants.join(small(same_place), ["rest", "place"]).where(F.col("at") > F.col("first")).select("h", F.col("first").alias("earlier"))
     both = variants.groupBy("rest").agg(F.min(F.when(F.col("place") < 0, F.col("at"))).alias("whole"), F.min(F.when(F.col("place") > 0, F.col("at"))).alias("lacking")).where("whole IS NOT NULL AND lacking IS NOT NULL")
-    moved = variants.join(both, "rest").select("h", "at", F.when(F.col("place") < 0, F.col("lacking")).otherwise(F.col("whole")).alias("earlier")).where(F.col("at") > F.col("earlier")).select("h", "earlier")
+    both = stored(both, "left-out")
+    moved = variants.join(small(both), "rest").select("h", "at", F.when(F.col("place") < 0, F.col("lacking")).otherwise(F.col("whole")).alias("earlier")).where(F.col("at") > F.col("earlier")).select("h", "earlier")
     pairs = replaced.unionByName(moved).distinct()
     own, other = found.select("h", F.col("w").alias("a")), found.select(F.col("at").alias("earlier"), F.col("w").alias("b"))
     return pairs.join(own, "h").join(other, "earlier").where(edits_at_most_one("a", "b")).select("h").distinct()
@@ -77,23 +79,24 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
     """doc, line of every line that goes."""
     hashed = lines_of(docs, key, text, min_words).select("doc", "line", word_hashes("w").alias("w"))
     filed = stored(hashed.select("doc", "line", F.xxhash64("w").alias("h"), half_keys("w").alias("keys")), "lines")
-    firsts = filed.groupBy("h").agg(F.min(F.struct("doc", "line")).alias("at"))
+    firsts = stored(filed.groupBy("h").agg(F.min(F.struct("doc", "line")).alias("at"), F.count(F.lit(1)).alias("n")), "first-lines")
     halves = filed.select("h", F.explode("keys").alias("k"))
     shared = stored(halves.groupBy("k").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a < b").select("k"), "shared-halves")
-    close = halves.join(small(shared), "k", "left_semi").select("h").distinct()
-    near = near_lines(firsts.join(close, "h", "left_semi"), docs, key, text).withColumn("near", F.lit(True))
-    judged = firsts.join(near, "h", "left").select("h", "at", F.coalesce("near", F.lit(False)).alias("near"))
-    here = F.struct("doc", "line")
-    return filed.select("h", "doc", "line").join(judged, "h").where(F.col("near") | (here != F.col("at"))).select("doc", "line")
+    close = stored(halves.join(small(shared), "k", "left_semi").select("h").distinct(), "close-lines")
+    near = stored(near_lines(firsts.join(small(close), "h", "left_semi"), docs, key, text).withColumn("near", F.lit(True)), "near")
+    judged = firsts.join(small(near), "h", "left").select("h", "at", "n", F.coalesce("near", F.lit(False)).alias("near")).where("near OR n > 1")
+    # stored, so that the join below is of two shuffled sides, and a line that is everywhere can be split
+    judged = stored(judged.select("h", "at", "near"), "judged-lines")
+    return filed.select("h", "doc", "line").join(small(judged), "h").where(F.col("near") | (F.struct("doc", "line") != F.col("at"))).select("doc", "line")
 
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 5) -> DataFrame:
     """The input rows and columns with duplicate lines taken out of text, and n_lines_removed."""
     gone = removed_lines(docs, key, text, min_words).distinct().groupBy("doc").agg(F.sort_array(F.collect_list("line")).alias("gone"))
-    gone = stored(gone.withColumnRenamed("doc", "gone_doc"), "removed-lines")
+    gone = stored(gone.withColumnRenamed("doc", "row_key"), "removed-lines")
     # for each line up to the last that goes: whether it stays
     stays = F.flatten(F.transform("gone", lambda x, k: F.concat(F.array_repeat(F.lit(True), x - F.coalesce(F.get("gone", k - 1), F.lit(-1)) - 1), F.array(F.lit(False)))))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("row_key"), F.col(text).alias("t")).join(small(gone), F.col("row_key") == F.col("gone_doc"), "left")
+    rows = join_texts(docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("row_key"), F.col(text).alias("t")), gone, "row_key", "left")
     rows = rows.withColumn("stays", stays)
     kept = F.when(F.col("gone").isNull(), F.col("t")).otherwise(F.array_join(F.filter(F.split("t", "\n"), lambda line, i: F.coalesce(F.get("stays", i), F.lit(True))), "\n"))
     made = F.struct(kept.alias("kept"), F.greatest(F.coalesce(F.size("gone"), F.lit(0)), F.lit(0)).alias("n_lines_removed"))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import forget, stored
+from .common import forget, small, stored
 
 SEED = 42
 #: Bits of the first histogram (at most 2**TOP rows reach the driver), fingerprints a subtrie should hold, and node pairs traversed at a time.
@@ -190,12 +190,15 @@ def components(edges: DataFrame) -> DataFrame:
     mark = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(down.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        after = stored(small, "edges")
-        forget(now)
+        # the minima are stored, so that a node with very many edges meets them in a join that can be split
+        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+        large = both.join(small(least), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = stored(large, "large-star")
+        down = stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        contracted = large.join(small(down), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(down.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+        after = stored(contracted, "edges")
+        for table in (now, least, large, down):
+            forget(table)
         now = after
         # sums of hashes tell whether a round changed anything
         state = tuple(now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.countDistinct("u")).first())
@@ -209,10 +212,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     prints = stored(fingerprints(docs, key, text, shingle), "fingerprints")
     distinct = stored(prints.groupBy("fp").agg(F.min(key).alias("least")), "distinct-fingerprints")
     roots = components(links(distinct.select("fp"), budget))
-    linked = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    best = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = linked.join(best, "root").select("fp", "component_id")
-    return prints.join(by_print, "fp").select(key, "fp", "component_id")
+    linked = stored(distinct.join(small(roots), distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted")
+    best = stored(linked.groupBy("root").agg(F.min("least").alias("component_id")), "components")
+    by_print = stored(linked.join(small(best), "root").select("fp", "component_id"), "by-fingerprint")
+    return prints.join(small(by_print), "fp").select(key, "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, budget: int = 2) -> DataFrame:

@@ -26,11 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_dir, stored
+from .common import shared_dir, small, stored
 
 #: Uncompressed bytes after which a new archive begins, and bytes read at a time.
 ARCHIVE_BYTES, BLOCK = 32 << 20, 1 << 18
-SMALL = 100_000
 # Fixed values of the format.
 VERSION, REVISIT_PROFILE = "WARC/1.1", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ID_PREFIX = "urn:x-page:"
@@ -108,14 +107,16 @@ def revisits(pages: DataFrame, min_revisit: int, key: str, html: str) -> DataFra
     """page, refers_to of the rows whose payload a larger id has too. Payloads themselves aren't shuffled."""
     payload = F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8")
     sized = pages.select(F.col(key).alias("page"), F.octet_length(payload).alias("n"), F.sha1(payload).alias("digest")).where(F.col("n") >= min_revisit).select("page", "digest")
+    sized = stored(sized, "digests")
     groups = sized.groupBy("digest").agg(F.max("page").alias("refers_to"), F.min("page").alias("least")).where("least < refers_to").select("digest", "refers_to")
-    return sized.join(groups, "digest").where("page < refers_to").select("page", "refers_to").distinct()
+    # stored, so that a payload that is everywhere meets in a join whose sides are both shuffled, and can be split
+    groups = stored(groups, "equal-payloads")
+    return sized.join(small(groups), "digest").where("page < refers_to").select("page", "refers_to").distinct()
 
 
 def write_archives(pages: DataFrame, folder: str, min_revisit: int = 1000, date: str = "2024-01-01T00:00:00Z", key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Write whole-file gzip archives under folder; a stored table of path, n_records."""
-    again = stored(revisits(pages, min_revisit, key, html), "revisits")
-    again = F.broadcast(again) if again.limit(SMALL + 1).count() <= SMALL else again
+    again = small(stored(revisits(pages, min_revisit, key, html), "revisits"))
     rows = pages.select(F.col(key).alias("page"), F.col(url).alias("url"), F.col(html).alias("html")).join(again, "page", "left").select("page", "url", "html", "refers_to")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,6 +210,6 @@ def archive_round_trip(pages: DataFrame, min_revisit: int = 1000, key: str = "pa
     read = read.select(F.col("page").cast(kind).alias(key), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
     sizes = read.where("record_type = 'response'").select(F.col("payload_digest").alias("d"), F.col("payload_bytes").alias("full"), F.col(key).alias("target"))
     wanted = read.where("record_type = 'revisit'").select(F.col("refers_to").alias("target"), F.col("payload_digest").alias("d")).distinct()
-    full = wanted.join(sizes, ["target", "d"]).distinct()
-    joined = read.join(full, (F.col("refers_to") == F.col("target")) & (F.col("payload_digest") == F.col("d")), "left")
+    full = stored(wanted.join(sizes, ["target", "d"]).distinct(), "full-sizes")
+    joined = read.join(small(full), (F.col("refers_to") == F.col("target")) & (F.col("payload_digest") == F.col("d")), "left")
     return joined.select(key, F.coalesce("payload_bytes", "full").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
