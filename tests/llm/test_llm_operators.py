@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tideline.llm import bwt, chat, decontaminate, linededup, packing, queries, rules, simhash, toxicity, urls, warc
+from tideline.llm import bwt, chat, common, decontaminate, linededup, packing, queries, rules, simhash, toxicity, urls, warc
 
 WORDS = "the of and river stone light under seven quiet amber north willow engine paper crystal".split()
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -395,6 +395,16 @@ def test_remove_repeats(docs, corpus, nothing):
     assert bwt.remove_repeats(nothing).count() == 0
 
 
+@pytest.mark.parametrize("local, overall", [(0, 0), (1, 2), (64, 1)])
+def test_crowded_minimizers(docs, corpus, monkeypatch, local, overall):
+    """Cut finer, the same bytes go."""
+    monkeypatch.setattr(bwt, "LOCAL_CROWD", local)
+    monkeypatch.setattr(bwt, "CROWD", overall)
+    for width in (100, 20):
+        got = {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in bwt.remove_repeats(docs, width).collect()}
+        assert got == {d: x[1:3] for d, x in brute.removed_bytes(corpus, width).items()}
+
+
 def test_merged_transforms():
     """Interleave and common prefixes against plain suffix sorting."""
     rng = random.Random(8)
@@ -424,6 +434,26 @@ def test_long_texts_are_hashed_in_parts(monkeypatch):
     assert starts(whole) == starts(parts) == list(range(4901))
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_join_texts(spark, monkeypatch, how):
+    """Nothing fits, and few bitmaps: the same rows as a plain join, nulls and repeats too."""
+    texts = spark.createDataFrame([(i if i % 7 else None, "t" * i) for i in range(300)] * 2, "k long, t string")
+    keyed = spark.createDataFrame([(3 * i, [i]) for i in range(50)] + [(None, [0])], "k long, v array<int>")
+    want = sorted(map(str, texts.join(keyed, "k", how).collect()))
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    for maps in (2048, 1):
+        monkeypatch.setattr(common, "BITMAPS", maps)
+        assert sorted(map(str, common.join_texts(texts, keyed, "k", how).collect())) == want
+
+
+def test_beyond_broadcasts(docs, corpus, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(docs).collect()}
+    assert got.pop(160) is None and got == brute.deduplicated_lines(corpus)
+    got = {r["doc_id"]: r["n_removed"] for r in bwt.remove_repeats(docs, 12).collect()}
+    assert got == {d: x[1] for d, x in brute.removed_bytes(corpus, 12).items()}
+
+
 def test_held_out_is_crc32(spark):
     ids = list(range(50))
     got = [r[0] for r in spark.createDataFrame([(i,) for i in ids], "doc_id long").select(queries.held_out()).collect()]
