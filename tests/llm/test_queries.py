@@ -80,3 +80,21 @@ def test_pipeline(spark, db):
         elif name == "benchmark decontamination":
             assert set(after) == {d for d, x in brute.contamination(list(before.items()), items).items() if not x[1]}
     assert sorted(map(str, corpus_pipeline.run(spark, DATA).collect())) == sorted(map(str, docs.collect()))
+
+
+def test_pipeline_on_odd_rows(spark):
+    """Nulls in any column, empty and blank texts, repeated rows, other columns with clashing names, no rows at all."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, h long, row string, kept int, words string, source_row int, t string, line int"
+    good = " ".join(f"word{i} and some more text number {i}" for i in range(12))
+    rows = [(1, good), (1, good), (2, None), (3, ""), (4, " \n\t"), (None, good + " tail"), (None, None), (5, good.replace("word3", "other")), (6, "\n".join([good] * 3)), (7, "short"), (8, "xyz " * 5000)]
+    for data in (rows, []):
+        docs = spark.createDataFrame([(*r, None, None, None, 7, "x", 1, "y", 2, "z", 3) for r in data], schema)
+        for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            made = corpus_pipeline.stored(stage(spark, docs, DATA), f"odd-{k}")
+            assert made.count() <= docs.count()
+            if name == "packing":
+                assert made.count() == docs.count()
+                break
+            assert made.dtypes == docs.dtypes
+            docs = made
+        assert (1 in {r["doc_id"] for r in docs.collect()}) == bool(data)

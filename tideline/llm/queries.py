@@ -28,7 +28,8 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def held_out(key="doc_id"):
-    return F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1
+    """Whether crc32 of the key as text leaves 1 by 3; not for a null key."""
+    return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -219,6 +219,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, budget: int = 2) -> DataFrame:
-    """The documents whose key is the smallest of their group, with their own columns."""
-    kept = near_duplicates(docs, key, text, shingle, budget).where(F.col(key).eqNullSafe(F.col("component_id"))).select(key).distinct()
-    return docs.join(kept, key, "left_semi")
+    """The documents whose key is the smallest of their group, with their own columns. Those without a key stay."""
+    found = near_duplicates(docs, key, text, shingle, budget)
+    later = stored(found.where(F.col(key) != F.col("component_id")).select(key).distinct(), "later-copies")
+    return docs.join(small(later), key, "left_anti")
