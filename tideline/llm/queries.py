@@ -110,4 +110,37 @@ WARC_SQL = """
         CASE WHEN payload_bytes >= 1000 AND page_id < last_id THEN last_id END AS refers_to
     FROM g"""
 
-ORACLE: dict[str, str] = {"op5_url_filter": url_sql(), "op7_warc": WARC_SQL}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _words_sql(text: str, separators: str) -> str:
+    return f"list_filter(regexp_split_to_array({text}, '{separators}'), lambda x: x <> '')"
+
+
+_TERMS = _words_sql(_LOWER, decontaminate.SEPARATORS)
+DECONTAMINATION_SQL = f"""
+    WITH d AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+    b AS (SELECT item_id, w, least(10, len(w)) AS s FROM (SELECT item_id, {_TERMS} AS w FROM benchmark) WHERE len(w) > 0),
+    win AS (SELECT DISTINCT item_id, s, list_slice(w, i, i + s - 1) AS g FROM (SELECT *, unnest(generate_series(1, len(w) - s + 1)) AS i FROM b)),
+    own AS (SELECT doc_id, s, i, list_slice(w, i, i + s - 1) AS g FROM (SELECT doc_id, w, s, unnest(generate_series(1, len(w) - s + 1)) AS i FROM d, (SELECT DISTINCT s FROM win))),
+    hit AS (SELECT doc_id, i, own.s AS s, item_id FROM own JOIN win ON own.s = win.s AND own.g = win.g),
+    n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + s - 1)) AS p FROM hit) GROUP BY doc_id),
+    ids AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN n USING (doc_id) LEFT JOIN ids USING (doc_id)"""
+
+LINES_SQL = f"""
+    WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, generate_subscripts(string_split(text, chr(10)), 1) AS line FROM documents WHERE text IS NOT NULL),
+    w AS (SELECT *, {_words_sql("t", r"[\x20\x09-\x0D]+")} AS w FROM l),
+    f AS (SELECT w, min({{'d': doc_id, 'l': line}}) AS place FROM w WHERE len(w) >= 5 GROUP BY w),
+    v AS (SELECT w, place, i, list_concat(list_slice(w, 1, i - 1), list_slice(w, i + 1, len(w))) AS r FROM (SELECT *, unnest(generate_series(1, len(w))) AS i FROM f)),
+    near AS (
+        SELECT w FROM (SELECT w, place, min(place) OVER (PARTITION BY r, i) AS first FROM v) WHERE place > first
+        UNION SELECT CASE WHEN v.place > f.place THEN v.w ELSE f.w END FROM v JOIN f ON v.r = f.w),
+    judged AS (SELECT doc_id, line, t, f.w IS NOT NULL AND (near.w IS NOT NULL OR place <> {{'d': doc_id, 'l': line}}) AS gone
+        FROM w LEFT JOIN f ON f.w = w.w LEFT JOIN near ON near.w = w.w),
+    kept AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n, string_agg(t, chr(10) ORDER BY line) FILTER (WHERE NOT gone) AS text FROM judged GROUP BY doc_id)
+    SELECT doc_id, coalesce(n, 0) AS n_lines_removed, sha256(coalesce(kept.text, '')) AS kept_sha256 FROM documents LEFT JOIN kept USING (doc_id)"""
+
+#: Of the others: a learned list, model or boundaries (2, 3, 4, 9), hashes that SQL lacks (6), and bytes of whole texts against all others (10).
+ORACLE: dict[str, str] = {"op1_decontamination": DECONTAMINATION_SQL, "op5_url_filter": url_sql(), "op7_warc": WARC_SQL, "op8_line_dedup": LINES_SQL}
