@@ -142,5 +142,20 @@ LINES_SQL = f"""
     kept AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n, string_agg(t, chr(10) ORDER BY line) FILTER (WHERE NOT gone) AS text FROM judged GROUP BY doc_id)
     SELECT doc_id, coalesce(n, 0) AS n_lines_removed, sha256(coalesce(kept.text, '')) AS kept_sha256 FROM documents LEFT JOIN kept USING (doc_id)"""
 
-#: Of the others: a learned list, model or boundaries (2, 3, 4, 9), hashes that SQL lacks (6), and bytes of whole texts against all others (10).
-ORACLE: dict[str, str] = {"op1_decontamination": DECONTAMINATION_SQL, "op5_url_filter": url_sql(), "op7_warc": WARC_SQL, "op8_line_dedup": LINES_SQL}
+BYTES_SQL = """
+    WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, strlen(coalesce(text, '')) AS n FROM documents),
+    s AS (SELECT doc_id, i, b[i:i + 99] AS g FROM (SELECT *, unnest(generate_series(1, n - 99)) AS i FROM d)),
+    m AS (SELECT g, min({'d': doc_id, 'i': i}) AS first FROM s GROUP BY g HAVING count(*) > 1),
+    r AS (SELECT doc_id, i FROM s JOIN m USING (g) WHERE {'d': doc_id, 'i': i} > first),
+    x AS (SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS new FROM r),
+    y AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM x),
+    z AS (SELECT doc_id, min(i) AS a, max(i) + 99 AS e FROM y GROUP BY doc_id, run),
+    k AS (SELECT doc_id, lag(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) + 1 AS f, a - 1 AS t FROM z
+        UNION ALL SELECT doc_id, coalesce(max(e), 0) + 1, any_value(n) FROM d LEFT JOIN z USING (doc_id) GROUP BY doc_id),
+    c AS (SELECT doc_id, string_agg(hex(b[f:t]), '' ORDER BY f) AS kept FROM k JOIN d USING (doc_id) WHERE f <= t GROUP BY doc_id),
+    u AS (SELECT doc_id, CAST(sum(e - a + 1) AS BIGINT) AS n_removed, count(*) AS n_spans FROM z GROUP BY doc_id)
+    SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+    FROM d LEFT JOIN u USING (doc_id) LEFT JOIN c USING (doc_id)"""
+
+#: Of the others: a learned list, model or boundaries (2, 3, 4, 9), and hashes that SQL lacks (6).
+ORACLE: dict[str, str] = {"op1_decontamination": DECONTAMINATION_SQL, "op5_url_filter": url_sql(), "op7_warc": WARC_SQL, "op8_line_dedup": LINES_SQL, "op10_suffix_dedup": BYTES_SQL}
