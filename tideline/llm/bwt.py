@@ -124,19 +124,25 @@ def classes(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def suffix_order(text: np.ndarray) -> np.ndarray:
-    """Suffix array of a shard whose terminators are negative, distinct and increasing: ranks doubled until all differ."""
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-    n, k = len(text), 1
+    """Suffix array of a shard whose terminators are negative, distinct and increasing: ranks of a few symbols, doubled until all differ."""
+    n, least = len(text), int(text.min())
+    base = 257 - least  # symbols from 1 on; 0 stands for what is past the end
+    k = 4 if base**4 < 2**62 else 1
+    symbol = np.zeros(n + k, dtype=np.int64)
+    symbol[:n] = text - (least - 1)
+    key = symbol[:n].copy()
+    for j in range(1, k):
+        key = key * base + symbol[j : n + j]
     while True:
-        follow = np.zeros(n, dtype=np.int64)
-        follow[: n - k] = rank[k:] + 1
-        key = rank * (n + 2) + follow
         order = np.argsort(key, kind="stable")
         fresh = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
         if fresh[-1] == n - 1:
             return order
         rank = np.empty(n, dtype=np.int64)
         rank[order] = fresh
+        follow = np.zeros(n, dtype=np.int64)
+        follow[: max(0, n - k)] = rank[k:] + 1
+        key = rank * (n + 2) + follow
         k *= 2
 
 
@@ -384,9 +390,10 @@ def repeated_spans(firsts: DataFrame, width: int) -> DataFrame:
     settled = settle(firsts, lambda batch, k: snippets(text_of(batch, k), width, batch.column("doc")[k].as_py()), width, ranges, True)
     hot = listed(settled, HOT)
     if not hot.isEmpty():
-        again = join_texts(firsts, hot, "doc")
+        again = join_texts(firsts, hot, "doc", broadcast=False)
         cut_again = lambda batch, k: finer(text_of(batch, k), np.frombuffer(b"".join(batch.column("records")[k].as_py()), dtype=RECORD), width)
         settled = settled.where(F.col("kind") != HOT).unionByName(settle(again, cut_again, width, ranges, False))
+    # what is known of a document grows with the corpus, so these joins have one plan at every size
     mixed = listed(settled, MIXED)
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -401,7 +408,7 @@ def repeated_spans(firsts: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts) if parts else np.empty(0, np.int64)), pa.array(taken, pa.binary()), pa.array(bodies, pa.binary())], names=["part", "record", "body"])
 
     amount = (mixed.agg(F.sum(F.aggregate("records", F.lit(0).cast("long"), lambda a, p: a + F.octet_length(p)))).first()[0] or 0) // RECORD.itemsize * 140
-    bodies = join_texts(firsts, mixed, "doc").mapInArrow(take, "part long, record binary, body binary").repartition(max(16, int(amount >> 22)), "part").sortWithinPartitions("part")
+    bodies = join_texts(firsts, mixed, "doc", broadcast=False).mapInArrow(take, "part long, record binary, body binary").repartition(max(16, int(amount >> 22)), "part").sortWithinPartitions("part")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Snippets of one minimizer stay together; others are gathered up to MERGE bytes."""
@@ -458,7 +465,7 @@ def remove_repeats(docs: DataFrame, width: int = 100, key: str = "doc_id", text:
                 size.append(len(data)), gone.append(int((s["end"] - s["start"]).sum())), runs.append(len(s)), kept.append(b"".join([*left, data[at:]]))
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary()), batch.column("first")], names=["doc", "n_bytes", "n_removed", "n_spans", "kept", "copy_of"])
 
-    made = join_texts(marked, spans, "doc", "left").mapInArrow(apply, "doc long, n_bytes long, n_removed long, n_spans long, kept binary, copy_of long")
+    made = join_texts(marked, spans, "doc", "left", broadcast=False).mapInArrow(apply, "doc long, n_bytes long, n_removed long, n_spans long, kept binary, copy_of long")
     return made.select(F.col("doc").alias(key), "n_bytes", "n_removed", "n_spans", "kept", "copy_of")
 
 

@@ -27,12 +27,12 @@ def split_words(text: Column, separators: str = SPACES) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is configured, as in tests."""
+    """This application's part of the cluster's shared folder; a temporary one only where none is configured, as in tests."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = "file://" + tempfile.mkdtemp(prefix="tideline-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/tideline"
+    return f"{base.rstrip('/')}/tideline-{spark.sparkContext.applicationId}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -74,13 +74,13 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if fits(df) else df
 
 
-def join_texts(texts: DataFrame, keyed: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def join_texts(texts: DataFrame, keyed: DataFrame, key: str, how: str = "inner", broadcast: bool = True) -> DataFrame:
     """Join long rows with a stored table on key (inner or left), moving as few of the long rows as can be.
 
-    A table that fits is broadcast. For a larger one, a bitmap over hashed keys, of 8 MB at any size, is broadcast
+    A table that fits is broadcast, if it may be. For a larger one, a bitmap over hashed keys, of 8 MB at any size, is broadcast
     first: rows that it rules out are not shuffled. When it fills up it rules out less, and results stay the same.
     """
-    if fits(keyed):
+    if broadcast and fits(keyed):
         return texts.join(F.broadcast(keyed), key, how)
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(BITMAPS * BITMAP_BITS))
     split = lambda h: (F.floor(h / BITMAP_BITS).cast("int").alias("_map"), (h % BITMAP_BITS).cast("int").alias("_bit"))
