@@ -17,10 +17,12 @@ def decode(raw: Column) -> Column:
     total = F.octet_length(raw)
     error = (
         F.when(raw.isNull() | (total < SIZE), F.lit("too short"))
-        .when(read_le(raw, 0, 2, "int") != RECORD_TYPE, F.lit("unexpected type"))
+        .when(F.substring(raw, 1, 2) != F.lit(RECORD_TYPE.to_bytes(2, "little")), F.lit("unexpected type"))
         .when(read_le(raw, 30, 4, "long") != total - SIZE, F.lit("content length mismatch"))
     )
-    good = lambda c: F.when(error.isNull(), c)
+    # every field tests for errors again, so the text of the error isn't built for that
+    fine = (total >= SIZE) & (F.substring(raw, 1, 2) == F.lit(RECORD_TYPE.to_bytes(2, "little"))) & (read_le(raw, 30, 4, "long") == total - SIZE)
+    good = lambda c: F.when(fine, c)
     parts = [good(read_le(raw, at, n, kind)).alias(name) for name, at, n, kind in FIELDS]
     return F.struct(*parts, good(F.substring(raw, F.lit(SIZE + 1), F.greatest(total - SIZE, F.lit(0)))).alias("content"), error.alias("error"))
 
