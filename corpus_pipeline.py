@@ -21,8 +21,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates, the document with the smallest id stays."""
-    return simhash.keep_first(docs)
+    """Of each group of documents whose 5-word shingles are similar, the one with the smallest id stays."""
+    return simhash.keep_first(docs, shingle=5, budget=20, similarity=0.8)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -250,6 +250,62 @@ def test_simhash(docs, corpus, nothing):
     assert kept == {c for _, c in got.values()}
 
 
+def edited_copies():
+    """Texts and copies with some words changed, by turns at once and far apart; blank and short ones."""
+    rng = random.Random(21)
+    rows = []
+    for i in range(40):
+        words = sentence(rng, rng.randint(30, 250)).split()
+        rows.append(" ".join(words))
+        for n in (1, 2, 3):
+            copy = list(words)
+            for at in rng.sample(range(len(copy)), min(n, len(copy) // 40 + (i % 2))):
+                copy[at] = f"other{rng.randint(0, 9)}"
+            rows.append(" ".join(copy))
+    rows += [None, "", " ", "a b", "A  b", "a b c d e f g h", "a b c d e f g h i"]
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+def jaccard_groups(rows, similarity=0.8):
+    """key -> smallest key of its group, by comparing all pairs."""
+    sets = {}
+    for d, t in rows:
+        w = brute.blank_words(brute.lower(t))
+        sets[d] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    root = {d: d for d in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and root[a] != root[b] and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = {d: low if r == high else r for d, r in root.items()}
+    return root
+
+
+@pytest.mark.parametrize("subtrie, sparse, leaf", [(16_384, 4, 1 << 16), (7, 0, 16)])
+def test_similar_documents(spark, monkeypatch, subtrie, sparse, leaf):
+    """Against all pairs by Jaccard, with a budget that loses none; small and dense subtries too. The 2-bit groups differ."""
+    for name, value in (("SUBTRIE", subtrie), ("SPARSE", sparse), ("LEAF", leaf)):
+        monkeypatch.setattr(simhash, name, value)
+    rows = edited_copies()
+    want = jaccard_groups(rows)
+    df = spark.createDataFrame([*rows, (None, rows[0][1])], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(df, "doc_id", "text", 5, 24, 0.8).collect()}
+    assert got == want and len(set(want.values())) < len(rows) - 60
+    assert want != {d: c for d, (_, c) in brute.simhash_components(rows).items()}
+
+
+def test_near_dedup_stage(spark):
+    """The pipeline's stage keeps the first of each group by brute-force Jaccard."""
+    import corpus_pipeline
+
+    rows = edited_copies()
+    df = spark.createDataFrame([*rows, (None, rows[0][1])], "doc_id long, text string")
+    kept = [r["doc_id"] for r in corpus_pipeline.copies(spark, df, "").collect()]
+    assert None in kept and {d for d in kept if d is not None} == set(jaccard_groups(rows).values())
+    assert corpus_pipeline.copies(spark, df.limit(0), "").count() == 0
+
+
 def test_trie_join(monkeypatch):
     """Pairs of random, clustered fingerprints over split subtries; small frontiers."""
     monkeypatch.setattr(simhash, "FRONTIER", 50)

@@ -8,11 +8,17 @@ come from star contraction over stored tables.
 
 Null and empty texts have fingerprint 0 and link like any other; texts shorter than a shingle make one shingle.
 Equal texts share a fingerprint and are joined once. An empty table gives an empty result. Only key and text are read.
+
+With a ``similarity``, fingerprints only propose: pairs within the budget, and close enough in three more words of
+bits, link if the Jaccard similarity of their distinct shingles (by 64-bit hashes) reaches it. Texts of equal shingles are one node, null and empty ones too; rows
+without a key are compared with none. Only sizes that allow the similarity meet. A budget as wide as that prunes few
+branches of a trie, so the pairs compared grow with the square of the rows, divided by the size classes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,20 +26,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import forget, small, stored
+from .common import forget, join_texts, small, stored
 
 SEED = 42
 #: Bits of the first histogram (at most 2**TOP rows reach the driver), fingerprints a subtrie should hold, and node pairs traversed at a time.
 TOP, SUBTRIE, FRONTIER = 16, 16_384, 400_000
+#: With a similarity: pairs compared as one block, and pairs for each node up to which two subtries return all of theirs.
+LEAF, SPARSE = 1 << 18, 4
+#: Further words of bits, by which most pairs that the first one proposes are ruled out.
+MORE = 3
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """Unsigned 64-bit fingerprint. bytes.lower and bytes.split know only A-Z and ASCII blanks, as wanted."""
+def shingle_hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
+    """Unsigned 64-bit hashes of the shingles, in blocks. bytes.lower and bytes.split know only A-Z and ASCII blanks, as wanted."""
     import xxhash
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return
     joined, ends, at = b" ".join(words), [], -1
     for w in words:
         at += len(w) + 1
@@ -41,13 +51,24 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     n = max(1, len(words) - shingle + 1)
     starts = [0, *(e + 1 for e in ends)]
     digest, ends = xxhash.xxh64_intdigest, ends[min(shingle, len(words)) - 1 :]
-    set_bits = np.zeros(64, dtype=np.int64)
     for k in range(0, n, 65_536):
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(starts[k : k + 65_536], ends[k : k + 65_536])], dtype="<u8")
+        yield np.array([digest(joined[a:b], SEED) for a, b in zip(starts[k : k + 65_536], ends[k : k + 65_536])], dtype="<u8")
+
+
+def majority(blocks: Iterator[np.ndarray]) -> int:
+    """The bits that more than half of the hashes have; 0 without any."""
+    n, set_bits = 0, np.zeros(64, dtype=np.int64)
+    for hashes in blocks:
+        n += len(hashes)
         set_bits += np.unpackbits(hashes.view(np.uint8), bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * set_bits > n, bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    """Unsigned 64-bit fingerprint."""
+    return majority(shingle_hashes(text, shingle))
+
+
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
     """key and fp (the fingerprint as a signed long)."""
 
@@ -87,8 +108,8 @@ def subtrie_pairs(nodes: list[tuple[int, int]], budget: int) -> list[tuple[int,
     return out
 
 
-def traverse(a: np.ndarray, b: np.ndarray, budget: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of sorted uint64 arrays that differ in at most ``budget`` bits; with ``same`` (a is b), those with i < j."""
+def traverse(a: np.ndarray, b: np.ndarray, budget: int, same: bool, leaf: int = 8) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of sorted uint64 arrays that differ in at most ``budget`` bits; with ``same`` (a is b), those with i < j. Node pairs of up to ``leaf`` pairs are compared at once."""
     ones: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def ones_before(bit: int):
@@ -104,15 +125,15 @@ def traverse(a: np.ndarray, b: np.ndarray, budget: int, same: bool) -> Iterator[
             work += [(bit, nodes[k : k + FRONTIER]) for k in range(0, len(nodes), FRONTIER)]
             continue
         alo, ahi, blo, bhi, used = nodes.T
-        few = (ahi - alo) * (bhi - blo) <= 8
+        few = (ahi - alo) * (bhi - blo) <= leaf
         if bit < 0 or few.any():
             done = nodes if bit < 0 else nodes[few]
-            i, j = expand(done)
-            near = np.bitwise_count(a[i] ^ b[j]) <= budget
-            if same:
-                near &= i < j
-            if near.any():
-                yield i[near], j[near]
+            for i, j in [expand(done)] if leaf <= 8 else blocks(a, b, done, budget):
+                near = np.bitwise_count(a[i] ^ b[j]) <= budget
+                if same:
+                    near &= i < j
+                if near.any():
+                    yield i[near], j[near]
             nodes = nodes[:0] if bit < 0 else nodes[~few]
             if not len(nodes):
                 continue
@@ -138,6 +159,16 @@ def expand(nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[row, 0] + k // wide[row], nodes[row, 2] + k % wide[row]
 
 
+def blocks(a: np.ndarray, b: np.ndarray, nodes: np.ndarray, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs within the budget, of node pairs that are compared as whole blocks."""
+    for alo, ahi, blo, bhi, _ in nodes.tolist():
+        step = max(1, LEAF // (bhi - blo))
+        for lo in range(alo, ahi, step):
+            i, j = np.nonzero(np.bitwise_count(a[lo : min(ahi, lo + step), None] ^ b[None, blo:bhi]) <= budget)
+            if len(i):
+                yield i + lo, j + blo
+
+
 def forest(n: int, links: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """The smallest index of each one's component. Links are merged as they come and forgotten."""
     label = np.arange(n)
@@ -218,8 +249,183 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     return prints.join(small(by_print), "fp").select(key, "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, budget: int = 2) -> DataFrame:
+# ---- links verified by similarity ---------------------------------------------------------------------------
+
+
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """Sorted distinct hashes of a text's shingles."""
+    return np.unique(np.concatenate([np.empty(0, "<u8"), *shingle_hashes(text, shingle)]))
+
+
+def set_id(hashes: np.ndarray) -> int:
+    import xxhash
+
+    return xxhash.xxh3_64_intdigest(hashes.tobytes(), SEED)
+
+
+def mixed(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Other hashes from hashes: splitmix64, k steps on."""
+    z = hashes + np.uint64(k * 0x9E3779B97F4A7C15 % 2**64)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
+
+
+def whole_budget(similarity: float) -> int:
+    """Bits, of all words, in which texts of just that similarity differ, and 4.5 standard deviations."""
+    n, p = 64 * (1 + MORE), math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.ceil(n * p + 4.5 * math.sqrt(n * p * (1 - p)))
+
+
+def set_prints(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
+    """key, fp, n (distinct shingles), node (a hash of all of them) and more words of bits of the rows with a key."""
+    more = [f"more{k}" for k in range(1, MORE + 1)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for t in batch.column(text):
+                own = shingle_set(t.as_py(), shingle)
+                parts = [own[k : k + 65_536] for k in range(0, len(own), 65_536)]
+                rows.append((majority(parts), len(own), set_id(own), *(majority(mixed(part, k) for part in parts) for k in range(1, MORE + 1))))
+            made = np.array(rows, dtype=np.uint64).reshape(-1, 3 + MORE).T.copy().view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(key), *map(pa.array, made)], names=[key, "fp", "n", "node", *more])
+
+    return docs.where(F.col(key).isNotNull()).select(key, text).mapInArrow(run, T.StructType([docs.schema[key], *(T.StructField(c, T.LongType()) for c in ("fp", "n", "node", *more))]))
+
+
+def sparse_links(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]], alike: Callable[[int, int], bool] | None = None) -> tuple[list[tuple[int, int]], bool]:
+    """All pairs and False, or, beyond SPARSE for each of the n nodes, pairs that span their components and True. With ``alike``, only pairs that it holds for, and those that span."""
+    label, out, kept, held, dense = np.arange(n), [], [], 0, alike is not None
+
+    def spanning(i, j):
+        for k in range(0, len(i), 1024):
+            x, y = i[k : k + 1024], j[k : k + 1024]
+            apart = label[x] != label[y]
+            for p, q in zip(x[apart].tolist(), y[apart].tolist()):
+                a, b = label[p], label[q]
+                if a != b and (alike is None or alike(p, q)):
+                    label[label == max(a, b)] = min(a, b)
+                    out.append((p, q))
+
+    for i, j in pairs:
+        if dense:
+            spanning(i, j)
+            continue
+        kept.append((i, j))
+        held += len(i)
+        if held > SPARSE * n:
+            dense = True
+            for x, y in kept:
+                spanning(x, y)
+            kept = []
+    return (out, True) if dense else ([p for i, j in kept for p in zip(i.tolist(), j.tolist())], False)
+
+
+def proposed(tries: DataFrame, met: DataFrame, tasks: int, budget: int, similarity: float, judged: bool = False) -> DataFrame:
+    """a, b, u, v, dense: pairs of nodes to judge, for each pair of subtries; pairs judged already, where the rows have the shingles' hashes."""
+    left = tries.select(F.col("trie").alias("a"), F.col("rows").alias("ra")).join(F.broadcast(met), "a")
+    right = tries.select(F.col("trie").alias("b"), F.col("rows").alias("rb")).join(F.broadcast(met), "b").select("a", "b", "rb")
+    both = left.join(right, ["a", "b"])
+    whole = whole_budget(similarity)
+    both = both.select("a", "b", "ra", "rb").repartition(tasks, "a", "b")
+
+    def columns(rows: pa.ListScalar):
+        fp, n, node, *more = (rows.values.field(k).to_numpy(zero_copy_only=False) for k in range(3 + MORE))
+        order = np.argsort(fp.view(np.uint64), kind="stable")
+        sets = rows.values.field(3 + MORE) if judged else None
+        sets = [sets[x].values.to_numpy() for x in order.tolist()] if judged else []
+        return fp.view(np.uint64)[order], n[order], node[order], np.stack(more, axis=1).view(np.uint64)[order], sets
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                a, b = (batch.column(c)[k].as_py() for c in ("a", "b"))
+                fa, na, ua, ma, sa = columns(batch.column("ra")[k])
+                fb, nb, ub, mb, sb = (fa, na, ua, ma, sa) if a == b else columns(batch.column("rb")[k])
+                shift = 0 if a == b else len(fa)
+                nodes = ua if a == b else np.concatenate([ua, ub])
+                sets = sa if a == b else sa + sb
+
+                def alike(i, j):
+                    common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    return common >= similarity * (len(sets[i]) + len(sets[j]) - common) - 1e-9
+
+                def pairs():
+                    for i, j in traverse(fa, fb, budget, a == b, LEAF):
+                        fits = np.minimum(na[i], nb[j]) >= similarity * np.maximum(na[i], nb[j]) - 1e-9
+                        i, j = i[fits], j[fits]
+                        fits = np.bitwise_count(fa[i] ^ fb[j]) + np.bitwise_count(ma[i] ^ mb[j]).sum(axis=1) <= whole
+                        if fits.any():
+                            yield i[fits], j[fits] + shift
+
+                found, dense = sparse_links(len(nodes), pairs(), alike if judged else None)
+                u, v = (nodes[np.array([p[c] for p in found], dtype=np.int64)] for c in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array([a] * len(u), pa.int32()), pa.array([b] * len(u), pa.int32()), pa.array(u), pa.array(v), pa.array([dense] * len(u), pa.bool_())], names=["a", "b", "u", "v", "dense"])
+
+    return both.mapInArrow(run, "a int, b int, u long, v long, dense boolean")
+
+
+def shingles_of(nodes: DataFrame, distinct: DataFrame, docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
+    """node, hashes: the distinct shingles of the nodes wanted, a stored table."""
+    wanted = stored(distinct.join(small(stored(nodes, "nodes")), "node").groupBy(F.col("least").alias(key)).agg(F.collect_set("node").alias("nodes")), "texts-to-judge")
+    texts = join_texts(docs.select(key, F.col(text).alias("t")), wanted, key).select("nodes", "t")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [(np.int64(np.uint64(set_id(s)).view(np.int64)), s.view(np.int64), set(nodes.as_py())) for nodes, t in zip(*batch.columns) for s in [shingle_set(t.as_py(), shingle)]]
+            sets = [(u, s) for u, s, nodes in sets if int(u) in nodes]  # a repeated key may have other texts
+            yield pa.RecordBatch.from_arrays([pa.array([int(u) for u, _ in sets], pa.int64()), pa.array([s for _, s in sets], pa.list_(pa.int64()))], names=["node", "hashes"])
+
+    return stored(texts.mapInArrow(run, "node long, hashes array<long>").dropDuplicates(["node"]), "shingles")
+
+
+def judge(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """pairs with linked: whether the shingles of u and v are similar enough."""
+    met = pairs.join(sets.select(F.col("node").alias("u"), F.col("hashes").alias("hu")), "u").join(sets.select(F.col("node").alias("v"), F.col("hashes").alias("hv")), "v")
+    common = F.size(F.array_intersect("hu", "hv"))
+    return met.select(*pairs.columns, (common >= similarity * (F.size("hu") + F.size("hv") - common) - 1e-9).alias("linked"))
+
+
+def similar_documents(docs: DataFrame, key: str, text: str, shingle: int, budget: int, similarity: float) -> DataFrame:
+    """key and component_id: the smallest key reachable over texts at most ``budget`` bits apart and at least ``similarity`` alike."""
+    spark = docs.sparkSession
+    prints = stored(set_prints(docs, key, text, shingle), "set-prints")
+    distinct = stored(prints.groupBy("node").agg(*(F.first(c).alias(c) for c in prints.columns if c not in (key, "node")), F.min(key).alias("least")), "distinct-sets")
+    # sizes of adjacent classes only can be similar enough; fewer shingles than one may lack are alike only if equal
+    sized = distinct.where(F.col("n") >= similarity / (1 - similarity) - 1e-9).withColumn("class", F.floor(F.log(F.col("n").cast("double")) / math.log(1 / similarity)).cast("int"))
+    shares = {r["class"]: -(-r["count"] // SUBTRIE) for r in sized.groupBy("class").count().collect()}  # some dozens of classes
+    first = dict(zip(sorted(shares), np.cumsum([0, *(shares[c] for c in sorted(shares))]).tolist()))
+    tries = {c: range(first[c], first[c] + shares[c]) for c in shares}
+    pairs = [(i, j) for c in tries for i in tries[c] for j in [*(j for j in tries[c] if j >= i), *tries.get(c + 1, ())]]
+    if not pairs:
+        return prints.join(distinct.select("node", F.col("least").alias("component_id")), "node").select(key, "component_id")
+    spread = F.broadcast(spark.createDataFrame([(c, first[c], shares[c]) for c in shares], "class int, first int, shares int"))
+    dealt = sized.join(spread, "class").withColumn("trie", (F.col("first") + F.pmod(F.xxhash64("node"), F.col("shares"))).cast("int"))
+    cells = stored(dealt.groupBy("trie").agg(F.collect_list(F.struct("fp", "n", "node", *(f"more{k}" for k in range(1, MORE + 1)))).alias("rows")), "subtries")
+    met = spark.createDataFrame(pairs, "a int, b int")
+    found = stored(proposed(cells, met, max(1, min(4096, len(pairs) // 4)), budget, similarity), "proposed")
+    sets = shingles_of(found.select(F.explode(F.array("u", "v")).alias("node")).distinct(), distinct, docs, key, text, shingle)
+    judged = stored(judge(found, sets, similarity), "judged")
+    links = judged.where("linked").select("u", "v")
+    # subtries that returned a part of their pairs may have better ones in place of those that failed: they judge by themselves
+    retry = [(r["a"], r["b"]) for r in judged.where("dense AND NOT linked").select("a", "b").distinct().collect()]
+    if retry:
+        met = spark.createDataFrame(retry, "a int, b int")
+        rows = cells.join(F.broadcast(met.select(F.explode(F.array("a", "b")).alias("trie")).distinct()), "trie").select("trie", F.inline("rows"))
+        rows = stored(rows, "dense-rows")
+        sets = shingles_of(rows.select("node"), distinct, docs, key, text, shingle)
+        full = rows.join(sets, "node").groupBy("trie").agg(F.collect_list(F.struct("fp", "n", "node", *(f"more{k}" for k in range(1, MORE + 1)), "hashes")).alias("rows"))
+        links = links.unionByName(stored(proposed(stored(full, "dense-subtries"), met, len(retry), budget, similarity, True), "dense-links").select("u", "v"))
+    roots = components(links)
+    rooted = stored(distinct.join(small(roots), "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")), "rooted")
+    best = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "components")
+    by_node = stored(rooted.join(small(best), "root").select("node", "component_id"), "by-node")
+    return prints.join(small(by_node), "node").select(key, "component_id")
+
+
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, budget: int = 2, similarity: float | None = None) -> DataFrame:
     """The documents whose key is the smallest of their group, with their own columns. Those without a key stay."""
-    found = near_duplicates(docs, key, text, shingle, budget)
+    found = near_duplicates(docs, key, text, shingle, budget) if similarity is None else similar_documents(docs, key, text, shingle, budget, similarity)
     later = stored(found.where(F.col(key) != F.col("component_id")).select(key).distinct(), "later-copies")
     return docs.join(small(later), key, "left_anti")
