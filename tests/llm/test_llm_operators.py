@@ -428,6 +428,20 @@ def test_chat(spark):
     assert chat.format_chats(odd.limit(0), model).count() == 0 and chat.parse("User: a\nAssistant: b", chat.Model()) == [("user", "a"), ("assistant", "b")]
 
 
+def test_long_conversations_are_parsed_whole(spark):
+    """Over 512 turns, one of each style, with odd places for the roles: one row, with the roles of the whole transcript."""
+    rng = random.Random(10)
+    rows = [(c, t, ["user", "assistant"][t % 2] if t else "system", sentence(rng, 40 if t and t % 2 else 9)) for c in range(12) for t in range(1300 if c < 10 else 3)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    model = chat.fit(table)
+    got = chat.format_chats(chat.render(table), model).collect()
+    assert len(got) == 12 and len({chat.style_of(c) for c in range(10)}) > 2
+    for r in got:
+        own = [(role, text) for c, _, role, text in rows if c == r["conv_id"]]
+        want = chat.parse(chat.transcript(own, chat.style_of(r["conv_id"]))[0], model)
+        assert [(t["role"], t["text"]) for t in r["turns"]] == want and r["n_turns"] == len(own)
+
+
 def test_viterbi_is_best():
     """Against all state sequences."""
     import itertools

@@ -30,8 +30,6 @@ ROLES = ["system", "user", "assistant"]
 SPEAKERS = {"system": ["system", "instructions"], "user": ["user", "human", "you", "prompter", "question", "q", "instruction"], "assistant": ["assistant", "ai", "bot", "model", "answer", "a", "response", "gpt"]}
 NAMES = {name: role for role, names in SPEAKERS.items() for name in names}
 MARKER = re.compile(r"\s*(?:<\|\s*(%s)\s*\|>|(?:#{1,4}\s*|\*\*|\[)?(%s)(?:\*\*|\])?\s*:(?:\*\*)?)\s*" % (("|".join(sorted(NAMES, key=len, reverse=True)),) * 2), re.IGNORECASE)
-#: Turns of a conversation that form one transcript in render().
-SEGMENT = 512
 
 
 @dataclass
@@ -139,9 +137,8 @@ def transcript(turns: list[tuple[str, str]], style: int) -> tuple[str, list[int]
 
 
 def conversations_of(table: DataFrame, key: str = "conv_id") -> DataFrame:
-    """key, segment, turns of each conversation, in order; those of over SEGMENT turns come in consecutive segments."""
-    segment = F.floor(F.coalesce(F.col("turn"), F.lit(0)) / SEGMENT).alias("segment")
-    return table.groupBy(F.col(key), segment).agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    """key, turns of each conversation, in order. A conversation is one row whatever its length."""
+    return table.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
 
 
 def style_of(value) -> int:
@@ -151,15 +148,15 @@ def style_of(value) -> int:
 
 
 def render(table: DataFrame, key: str = "conv_id") -> DataFrame:
-    """key, segment, n_turns and a raw transcript, in a style fixed by the key."""
+    """key, n_turns and a raw transcript, in a style fixed by the key."""
     turns = conversations_of(table, key)
-    schema = T.StructType([turns.schema[key], turns.schema["segment"], T.StructField("n_turns", T.LongType()), T.StructField("text", T.StringType())])
+    schema = T.StructType([turns.schema[key], T.StructField("n_turns", T.LongType()), T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [[(t["role"], t["text"]) for t in row] for row in batch.column("turns").to_pylist()]
             text = [transcript(m, style_of(k))[0] for m, k in zip(made, batch.column(key).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(key), batch.column("segment"), pa.array([len(m) for m in made], pa.int64()), pa.array(text, pa.string())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array([len(m) for m in made], pa.int64()), pa.array(text, pa.string())], names=schema.names)
 
     return turns.mapInArrow(run, schema)
 

@@ -61,7 +61,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = load(spark, sf_dir, "conversations")
     made = chat.format_chats(chat.render(table), chat.fit(table))
     roles = F.array_join(F.transform("turns", lambda t: t["role"]), ",")
-    return made.select("conv_id", F.col("segment").cast("long").alias("segment"), "n_turns", F.size("turns").cast("long").alias("n_found"), roles.alias("roles"), F.sha2("rendered", 256).alias("rendered_sha256"))
+    return made.select("conv_id", F.lit(0).cast("long").alias("segment"), "n_turns", F.size("turns").cast("long").alias("n_found"), roles.alias("roles"), F.sha2("rendered", 256).alias("rendered_sha256"))
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
