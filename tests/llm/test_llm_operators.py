@@ -354,6 +354,14 @@ def test_warc(spark, tmp_path, monkeypatch):
     assert warc.archive_round_trip(df.limit(0)).count() == 0
 
 
+def test_warc_repeated_ids(spark):
+    """Rows of one id with other payloads: each is judged by its own, none multiplies."""
+    p, q, r = "p" * 1200, "q" * 1100, "r" * 1300
+    df = spark.createDataFrame([(1, "u", p), (1, "u", q), (1, "u", r), (2, "u", p), (3, "u", q)], "page_id long, url string, html string")
+    got = sorted((x["page_id"], x["payload_bytes"], x["record_type"], str(x["refers_to"])) for x in warc.archive_round_trip(df).collect())
+    assert got == [(1, 1100, "revisit", "3"), (1, 1200, "revisit", "2"), (1, 1300, "response", "None"), (2, 1200, "response", "None"), (3, 1100, "response", "None")]
+
+
 def test_warc_files(spark, tmp_path):
     df = spark.createDataFrame([(i, f"http://h/{i}", "y" * 50 * i) for i in range(40)], "page_id long, url string, html string").coalesce(1)
     raw = warc.write_archives(df, f"file://{tmp_path}/raw")

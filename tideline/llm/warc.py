@@ -8,7 +8,7 @@ Files go to the shared folder through its filesystem. A name holds the task atte
 task returned are read on, so a lost executor leaves nothing but an unread file. A record is held in memory, never an archive.
 
 Null html is an empty payload. Equal payloads of at least ``min_revisit`` bytes are stored once, under the largest id;
-rows that repeat that id are all responses. A null id is written as an empty one and read back as null; a null url
+rows that repeat that id with that payload are all responses. A null id is written as an empty one and read back as null; a null url
 leaves out the target. Empty tables write no archive. Only id, url and html are read.
 """
 
@@ -104,20 +104,22 @@ def page_of(value: str | None) -> str | None:
 
 
 def revisits(pages: DataFrame, min_revisit: int, key: str, html: str) -> DataFrame:
-    """page, refers_to of the rows whose payload a larger id has too. Payloads themselves aren't shuffled."""
+    """page, digest, refers_to of the rows whose payload a larger id has too. Payloads themselves aren't shuffled."""
     payload = F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8")
     sized = pages.select(F.col(key).alias("page"), F.octet_length(payload).alias("n"), F.sha1(payload).alias("digest")).where(F.col("n") >= min_revisit).select("page", "digest")
     sized = stored(sized, "digests")
     groups = sized.groupBy("digest").agg(F.max("page").alias("refers_to"), F.min("page").alias("least")).where("least < refers_to").select("digest", "refers_to")
     # stored, so that a payload that is everywhere meets in a join whose sides are both shuffled, and can be split
     groups = stored(groups, "equal-payloads")
-    return sized.join(small(groups), "digest").where("page < refers_to").select("page", "refers_to").distinct()
+    return sized.join(small(groups), "digest").where("page < refers_to").select("page", "digest", "refers_to").distinct()
 
 
 def write_archives(pages: DataFrame, folder: str, min_revisit: int = 1000, date: str = "2024-01-01T00:00:00Z", key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Write whole-file gzip archives under folder; a stored table of path, n_records."""
     again = small(stored(revisits(pages, min_revisit, key, html), "revisits"))
-    rows = pages.select(F.col(key).alias("page"), F.col(url).alias("url"), F.col(html).alias("html")).join(again, "page", "left").select("page", "url", "html", "refers_to")
+    # by payload as well, since rows that repeat an id may have others
+    digest = F.sha1(F.encode(F.coalesce(F.col(html), F.lit("")), "UTF-8")).alias("digest")
+    rows = pages.select(F.col(key).alias("page"), F.col(url).alias("url"), F.col(html).alias("html"), digest).join(again, ["page", "digest"], "left").select("page", "url", "html", "refers_to")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = open_fs(folder)
