@@ -88,6 +88,21 @@ def simhash_components(docs, budget=2):
     return {doc: (prints[doc], top(doc)) for doc in prints}
 
 
+def jaccard_groups(rows, similarity=0.8):
+    """key -> smallest key of its group, by comparing all pairs."""
+    sets = {}
+    for d, t in rows:
+        w = blank_words(lower(t))
+        sets[d] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    root = {d: d for d in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and root[a] != root[b] and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]):
+                low, high = sorted((root[a], root[b]))
+                root = {d: low if r == high else r for d, r in root.items()}
+    return root
+
+
 def one_edit(a, b):
     """Word edit distance at most 1, by dynamic programming."""
     row = list(range(len(b) + 1))
@@ -106,8 +121,8 @@ def deduplicated_lines(docs, min_words=5):
         kept = []
         for line in text.split("\n"):
             w = tuple(blank_words(line))
-            if len(w) >= min_words:
-                near = any(w == v or one_edit(w, v) for n in (len(w) - 1, len(w), len(w) + 1) for v in seen.get(n, ()) if abs(len(v) - len(w)) <= 1 and len(set(w) ^ set(v)) <= 2)
+            if w:
+                near = w in seen.get(len(w), ()) or len(w) >= min_words and any(one_edit(w, v) for n in (len(w) - 1, len(w), len(w) + 1) if n >= min_words for v in seen.get(n, ()) if len(set(w) ^ set(v)) <= 2)
                 if w not in seen.setdefault(len(w), set()):
                     seen[len(w)].add(w)
                 if near:

@@ -75,8 +75,28 @@ def test_decontaminate_edges(spark, docs, nothing):
     bench = spark.createDataFrame([(1, "a")], "item_id long, text string")
     assert decontaminate.decontaminate(nothing, bench).count() == 0
     assert all(r["n_hit"] == 0 for r in decontaminate.decontaminate(docs, bench.limit(0)).collect())
-    twice = spark.createDataFrame([(1, "x a b"), (1, "x a b"), (None, "a")], "doc_id long, text string")
-    assert [(r["doc_id"], r["n_words"], r["n_hit"]) for r in decontaminate.decontaminate(twice, bench).orderBy("n_words").collect()] == [(None, 1, 0), (1, 3, 1), (1, 3, 1)]
+    twice = spark.createDataFrame([(1, "x a b"), (1, "x a b"), (None, "a"), (None, "q"), (1, "b b b b")], "doc_id long, text string")
+    got = sorted((r["n_words"], r["n_hit"], str(r["doc_id"]), r["items"]) for r in decontaminate.decontaminate(twice, bench).collect())
+    assert got == [(1, 0, "None", []), (1, 1, "None", [1]), (3, 1, "1", [1]), (3, 1, "1", [1]), (4, 0, "1", [])]
+    assert sorted(r["text"] for r in decontaminate.keep_clean(twice, bench).collect()) == ["b b b b", "q"]
+
+
+def test_items_that_share_ids(spark):
+    """Each text of an id is found, each id of a text is listed, and a row without an id hits."""
+    docs = spark.createDataFrame([(1, "so beta gamma it is"), (2, "two three"), (3, "an alpha beta end"), (4, "one two three beta gamma")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "beta gamma"), (7, "two three"), (None, "alpha beta"), (8, "Two, three"), (None, None), (9, None)], "item_id long, text string")
+    got = {r["doc_id"]: (r["n_hit"], sorted(r["items"])) for r in decontaminate.decontaminate(docs, bench).collect()}
+    assert got == {1: (2, [7]), 2: (2, [7, 8]), 3: (2, []), 4: (4, [7, 8])}
+
+
+@pytest.mark.parametrize("rarest", [1, 2, 5])
+def test_decontaminate_by_other_anchors(docs, corpus, spark, monkeypatch, rarest):
+    """However many terms are intersected, and with nothing broadcast, the same words are hit."""
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    items = benchmark_of(corpus)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], set(r["items"])) for r in decontaminate.decontaminate(docs, bench, rarest=rarest).collect()}
+    assert got == brute.contamination(corpus, items)
 
 
 def test_phrases_and_proximity(spark):
@@ -126,10 +146,13 @@ def test_pack(docs, corpus, nothing):
     assert packing.pack(nothing).count() == 0
 
 
-def test_long_lengths_round_up(spark):
-    df = spark.createDataFrame([(n,) for n in (0, 1, 2047, 2048, 2049, 5001, 1_000_003)], "n long")
-    got = [r[0] for r in df.select(packing.grid(F.col("n"))).collect()]
-    assert got[:3] == [0, 1, 2047] and all(g >= n and g - n <= n / 512 for g, n in zip(got, (0, 1, 2047, 2048, 2049, 5001, 1_000_003)))
+def test_pack_long_repeated_and_unnamed(spark):
+    """Long lengths are bounds as they are; rows that share a key or have none get slots of their own."""
+    rows = [*((k, "w " * n) for k, n in ((1, 5001), (2, 30_011), (3, 5003), (3, 5003), (3, 5003), (None, 2), (None, 2))), (None, None), (4, "")]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), buckets=4, token_budget=10_010).collect()
+    assert sorted(r["n_tokens"] for r in got) == [0, 0, 2, 2, 5001, 5003, 5003, 5003, 30_011]
+    assert {r["bucket_len"] for r in got} <= {r["n_tokens"] for r in got} and len({(r["bucket_id"], r["batch_id"], r["slot"]) for r in got}) == len(rows)
+    assert sum(r["bucket_len"] - r["n_tokens"] for r in got) == 2
 
 
 # ---- 3 ---------------------------------------------------------------------------------------------------------
@@ -250,6 +273,35 @@ def test_simhash(docs, corpus, nothing):
     assert kept == {c for _, c in got.values()}
 
 
+def test_keep_first_of_repeated_rows(spark):
+    """One row of each group stays, whatever keys its rows share or lack."""
+    text, other = "one and the same text of a few words", "quite another one with words of its own kind"
+    df = spark.createDataFrame([(1, text), (1, text), (None, text), (2, text), (None, other), (5, other + " x y z w v u t s r q"), (None, other)], "doc_id long, text string")
+    got = sorted((str(r["doc_id"]), r["text"][:5]) for r in simhash.keep_first(df, shingle=5, budget=20, similarity=0.8).collect())
+    assert got == [("1", "one a"), ("5", "quite"), ("None", "quite")]
+    assert sum(r["text"] == text for r in simhash.keep_first(df).collect()) == 1
+
+
+def test_crowded_subtries(spark, monkeypatch):
+    """Cut at their next bits, subtries yield the same components; small chunks too, with nothing broadcast."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 12, dtype=np.uint64)
+    flips = (np.uint64(1) << rng.integers(0, 64, (12, 30), dtype=np.uint64)) | (np.uint64(1) << rng.integers(0, 64, (12, 30), dtype=np.uint64))
+    fps = np.unique(np.concatenate([(base[:, None] ^ flips).ravel(), base[0] ^ np.arange(64, dtype=np.uint64)]))
+    df = spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "fp long")
+    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 2
+    label = simhash.forest(len(fps), iter([np.nonzero(near)]))
+    for limit, size in ((16_384, 0), (3, 0)):
+        monkeypatch.setattr(simhash, "SUBTRIE", limit)
+        monkeypatch.setattr(simhash, "CHUNK", 16)
+        monkeypatch.setattr(common, "BROADCAST_BYTES", size)
+        edges = [(r["u"], r["v"]) for r in simhash.links(df, 2).collect()]
+        at = {int(f): k for k, f in enumerate(fps.view(np.int64))}
+        assert all(near[at[u], at[v]] or label[at[u]] == label[at[v]] for u, v in edges)
+        pairs = np.array([(at[u], at[v]) for u, v in edges]).T
+        assert (simhash.forest(len(fps), iter([(pairs[0], pairs[1])])) == label).all()
+
+
 def edited_copies():
     """Texts and copies with some words changed, by turns at once and far apart; blank and short ones."""
     rng = random.Random(21)
@@ -267,29 +319,14 @@ def edited_copies():
     return list(enumerate(rows))
 
 
-def jaccard_groups(rows, similarity=0.8):
-    """key -> smallest key of its group, by comparing all pairs."""
-    sets = {}
-    for d, t in rows:
-        w = brute.blank_words(brute.lower(t))
-        sets[d] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
-    root = {d: d for d in sets}
-    for a in sorted(sets):
-        for b in sorted(sets):
-            if a < b and root[a] != root[b] and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]):
-                low, high = sorted((root[a], root[b]))
-                root = {d: low if r == high else r for d, r in root.items()}
-    return root
-
-
-@pytest.mark.parametrize("subtrie, sparse, leaf", [(16_384, 4, 1 << 16), (7, 0, 16)])
+@pytest.mark.parametrize("subtrie, sparse, leaf", [(16_384, 4, 1 << 16), (3, 0, 16)])
 def test_similar_documents(spark, monkeypatch, subtrie, sparse, leaf):
     """Against all pairs by Jaccard, with a budget that loses none; small and dense subtries too. The 2-bit groups differ."""
     for name, value in (("SUBTRIE", subtrie), ("SPARSE", sparse), ("LEAF", leaf)):
         monkeypatch.setattr(simhash, name, value)
     rows = edited_copies()
-    want = jaccard_groups(rows)
-    df = spark.createDataFrame([*rows, (None, rows[0][1])], "doc_id long, text string")
+    want = brute.jaccard_groups(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: r["component_id"] for r in simhash.similar_documents(df, "doc_id", "text", 5, 24, 0.8).collect()}
     assert got == want and len(set(want.values())) < len(rows) - 60
     assert want != {d: c for d, (_, c) in brute.simhash_components(rows).items()}
@@ -302,31 +339,22 @@ def test_near_dedup_stage(spark):
     rows = edited_copies()
     df = spark.createDataFrame([*rows, (None, rows[0][1])], "doc_id long, text string")
     kept = [r["doc_id"] for r in corpus_pipeline.copies(spark, df, "").collect()]
-    assert None in kept and {d for d in kept if d is not None} == set(jaccard_groups(rows).values())
+    assert sorted(kept) == sorted(set(brute.jaccard_groups(rows).values()))
     assert corpus_pipeline.copies(spark, df.limit(0), "").count() == 0
 
 
 def test_trie_join(monkeypatch):
-    """Pairs of random, clustered fingerprints over split subtries; small frontiers."""
+    """Pairs of random, clustered fingerprints: a node with itself, two nodes, several roots at once, small frontiers."""
     monkeypatch.setattr(simhash, "FRONTIER", 50)
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**64, 60, dtype=np.uint64)
     flips = np.uint64(1) << rng.integers(0, 64, (60, 12), dtype=np.uint64)
     fps = np.unique(np.concatenate([base, (base[:, None] ^ flips).ravel(), np.arange(40, dtype=np.uint64)]))
-    want = {(i, j) for i in range(len(fps)) for j in range(i + 1, len(fps)) if int(fps[i] ^ fps[j]).bit_count() <= 2}
-    got = {(int(i), int(j)) for a, b in simhash.traverse(fps, fps, 2, True) for i, j in zip(a, b)}
-    assert got == want
-    counts = {}
-    for p in (fps >> np.uint64(48)).tolist():
-        counts[p] = counts.get(p, 0) + 1
-    nodes = simhash.subtries(counts, 20)
-    part = [fps[(fps >> np.uint64(64 - d) if d else fps * np.uint64(0)) == np.uint64(p)] for d, p in nodes]
-    assert sum(map(len, part)) == len(fps) and len(nodes) > 5
-    split = set()
-    for a, b in simhash.subtrie_pairs(nodes, 2):
-        for i, j in simhash.traverse(part[a], part[b], 2, a == b):
-            split |= {tuple(sorted((int(x), int(y)))) for x, y in zip(part[a][i], part[b][j])}
-    assert split == {(int(fps[i]), int(fps[j])) for i, j in want}
+    n, cut = len(fps), int(np.searchsorted(fps, np.uint64(1) << np.uint64(63)))
+    want = {(i, j) for i in range(n) for j in range(i + 1, n) if int(fps[i] ^ fps[j]).bit_count() <= 2}
+    for roots in ([(0, n, 0, n)], [(0, cut, 0, cut), (cut, n, cut, n), (0, cut, cut, n)]):
+        for leaf in (8, 1 << 10):
+            assert {(int(i), int(j)) for a, b in simhash.traverse(fps, np.array(roots), 2, leaf=leaf) for i, j in zip(a, b)} == want
 
 
 def test_components(spark):

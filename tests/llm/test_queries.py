@@ -9,6 +9,7 @@ import pytest
 
 import corpus_pipeline
 from tideline.llm import queries
+from tideline.llm.common import stored
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(DATA).exists(), reason="no test tables")
@@ -65,7 +66,7 @@ def test_pipeline(spark, db):
     items = db.sql("SELECT item_id, text FROM benchmark").fetchall()
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
         before = {r["doc_id"]: r["text"] for r in docs.collect()}
-        docs = corpus_pipeline.stored(stage(spark, docs, DATA), f"test-{k}")
+        docs = stored(stage(spark, docs, DATA), f"test-{k}")
         if name == "packing":
             assert {r["doc_id"] for r in docs.collect()} == set(before)
             continue
@@ -76,7 +77,7 @@ def test_pipeline(spark, db):
             want = brute.deduplicated_lines(list(before.items()))
             assert after == {d: t for d, t in want.items() if t == before[d] or t.strip()}
         elif name == "simhash near-dedup":
-            assert set(after) == {c for _, c in brute.simhash_components(list(before.items())).values()}
+            assert set(after) == set(brute.jaccard_groups(list(before.items())).values())
         elif name == "benchmark decontamination":
             assert set(after) == {d for d, x in brute.contamination(list(before.items()), items).items() if not x[1]}
     assert sorted(map(str, corpus_pipeline.run(spark, DATA).collect())) == sorted(map(str, docs.collect()))
@@ -90,7 +91,7 @@ def test_pipeline_on_odd_rows(spark):
     for data in (rows, []):
         docs = spark.createDataFrame([(*r, None, None, None, 7, "x", 1, "y", 2, "z", 3) for r in data], schema)
         for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
-            made = corpus_pipeline.stored(stage(spark, docs, DATA), f"odd-{k}")
+            made = stored(stage(spark, docs, DATA), f"odd-{k}")
             assert made.count() <= docs.count()
             if name == "packing":
                 assert made.count() == docs.count()

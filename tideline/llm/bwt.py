@@ -3,26 +3,29 @@
 A byte goes when a string of ``width`` bytes that covers it also starts earlier (in a smaller key, or before it in the
 same text). Strings never cross documents and are judged on the input.
 
-1. equal texts are found by digest; copies lose all (when they have a whole string), and only first texts go on;
-2. every string of ``width`` bytes belongs to the least-hashed gram inside it (its minimizer), so equal strings have
-   equal minimizers at equal offsets. The strings of one minimizer occurrence form a snippet. Snippets that are equal
-   altogether are one class, of which all but the first go; a class whose minimizer no other class has is settled;
-   A minimizer that very many classes share has its snippets cut into a few neighbouring strings each, filed under the
-   bytes that these share, and settled again: what is left of a passage that is everywhere is the variety of its margins;
-3. first snippets of the other classes meet by minimizer. A task cuts them into pieces whose cores occur twice, deals the
-   pieces into shards, builds each shard's transform, and merges the transforms by refining their interleave: one
-   round orders the suffixes by one more byte and marks where neighbours first differ, which is their common prefix.
-   After ``width`` rounds the unmarked intervals are the repeated strings; all but the earliest of each go;
-4. spans are united a document, and what is left is digested.
-
-Null and empty texts have no bytes; texts shorter than ``width`` stay whole. Rows that share a key count as one
-document and get equal results when their texts are equal. An empty table gives an empty result. Only key and text are read.
-Classes are told apart by two 64-bit hashes and lengths.
+1. routing: every string of ``width`` bytes belongs to the least-hashed gram inside it (its minimizer), so equal strings
+   meet at equal minimizers. The strings of one minimizer occurrence form a snippet. Snippets whose bytes have one
+   128-bit digest are one class; the first two of each class of a minimizer that occurs twice go on, and each later
+   one is noted as a copy of the first. A minimizer that very many classes share has its snippets cut into a few
+   neighbouring strings each, filed under the bytes that these share, and routed again;
+2. shards: a task joins neighbouring snippets whose class is alone with its minimizer into longer pieces, builds the
+   transform of its pieces, and sends each range its part of that. Snippets of other minimizers go to the range of their
+   minimizer, which drops strings whose core (what some neighbouring ones share) is nowhere else, and builds each
+   sender's transform of the rest;
+3. merging: the shards' transforms of a range are merged by refining their interleave. A round orders the suffixes
+   by twice as many bytes, and only those that still tie are moved. Common prefixes and intervals come from
+   the rounds' ranks; an interval of ``width`` common bytes with two suffixes or more is a repeated string, and all
+   but its earliest one go. Nothing goes that isn't in such an interval, or a noted copy of strings that all are;
+4. spans are united a document, and what is left is kept.
+
+Null and empty texts have no bytes; texts shorter than ``width`` stay whole. A document is a key and its text: rows that
+repeat both get equal results, and rows that share a key but not the text are documents of their own, ordered by a
+hash of the text. A null key is the smallest. Keys may be of any type that sorts. An empty table gives an empty result.
+Only key and text are read.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,18 +34,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import forget, join_texts, small, stored
+from .common import concluded, join_texts, stored, tasks_for
 
 GRAM = 24
-#: Offsets of a minimizer in a string that share a core; suffixes merged at a time; records before a task hands on what it has.
-OFFSETS, MERGE, FLUSH = 4, 1 << 20, 300_000
+#: Offsets of a minimizer in a string that share a core; records before a task hands on what it has.
+OFFSETS, FLUSH = 4, 300_000
+#: Bytes of a shard, and bytes of transforms that are merged at a time (whole ranges).
+SHARD, MERGE = 1 << 21, 1 << 20
+#: Source bytes for each range of minimizers.
+RANGE_BYTES = 1 << 23
 #: Longest piece of a text that is hashed at once; pieces overlap by width - 1.
 CHUNK = 1 << 20
-#: Classes of a minimizer in one task, and in all, beyond which its snippets are cut finer before they meet.
+#: Records of a minimizer in one task, and in all, beyond which its snippets are cut finer before they meet.
 LOCAL_CROWD, CROWD = 64, 1000
-#: Kinds of settled rows.
-GONE, MIXED, HOT = 0, 1, 2
-RECORD = np.dtype([("gram", "<u8"), ("body", "<u8"), ("doc", "<i8"), ("start", "<i8"), ("strings", "<i2"), ("offset", "<i2")])
+#: Kinds of routed rows: copies of a task's first, copies of the first of all, records to merge, records to cut finer.
+NEAR, FAR, MIXED, HOT = 0, 1, 2, 3
+#: The offset of records to merge that are joined into pieces first.
+ALONE = -1
+#: Kinds of merged rows: strings that occur twice, those of them that go.
+REPEATED, GONE = 0, 1
+RECORD = np.dtype([("gram", "<u8"), ("one", "<u8"), ("two", "<u8"), ("doc", "<i8"), ("start", "<i8"), ("strings", "<i4"), ("offset", "<i4")])
+LINK = np.dtype([("base", "<i8"), ("doc", "<i8"), ("start", "<i8"), ("strings", "<i4")])
+PIECE = np.dtype([("doc", "<i8"), ("start", "<i8"), ("strings", "<i8")])
 SPAN = np.dtype([("start", "<i8"), ("end", "<i8")])
 
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
@@ -92,8 +105,16 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(backward[:n], forward[w - 1 : w - 1 + n])
 
 
+def digests(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """128-bit digests of ranges of bytes, as rows of two words."""
+    import xxhash
+
+    digest = xxhash.xxh3_128_digest
+    return np.frombuffer(b"".join([digest(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]), dtype="<u8").reshape(-1, 2)
+
+
 def snippets(data: bytes, width: int, doc: int) -> np.ndarray:
-    """A record for each minimizer occurrence of a text: its hash, the hash of all its strings, where they start and how many they are."""
+    """A record for each minimizer occurrence of a text: its hash, the digest of all its strings, where they start and how many they are."""
     out, gram = [], min(GRAM, width)
     for base in range(0, max(1, len(data) - width + 1), CHUNK):
         part = np.frombuffer(data, dtype=np.uint8)[base : base + CHUNK + width - 1]
@@ -108,42 +129,84 @@ def snippets(data: bytes, width: int, doc: int) -> np.ndarray:
         first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
         n = np.diff(np.concatenate([first, [len(place)]]))
         made = np.empty(len(first), dtype=RECORD)
-        made["gram"], made["body"], made["doc"], made["start"] = grams[place[first]], hashes.of(first, first + n + width - 1), doc, first + base
+        made["gram"], made["doc"], made["start"] = grams[place[first]], doc, first + base
+        made["one"], made["two"] = digests(data, first + base, first + base + n + width - 1).T
         made["strings"], made["offset"] = n, place[first] - first
         out.append(made)
     return np.concatenate(out) if out else np.empty(0, dtype=RECORD)
 
 
 def classes(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Records sorted by class then position, and where a class begins. Whole classes are equal texts at equal offsets."""
-    order = np.lexsort([records[f] for f in ("start", "doc", "offset", "strings", "body", "gram")])
-    s = records[order]
-    new = np.ones(len(s), dtype=bool)
-    new[1:] = np.any([s[f][1:] != s[f][:-1] for f in ("gram", "body", "strings", "offset")], axis=0)
-    return s, new
+    """Records sorted by class then position, each once, and the place of each one in its class."""
+    s = records[np.lexsort([records[f] for f in ("start", "doc", "two", "one", "gram")])]
+    differ = lambda *names: np.concatenate([[True], np.any([s[f][1:] != s[f][:-1] for f in names], axis=0)]) if len(s) else np.empty(0, dtype=bool)
+    s = s[differ("gram", "one", "two", "doc", "start")]
+    first = np.flatnonzero(differ("gram", "one", "two"))
+    return s, np.arange(len(s)) - np.repeat(first, np.diff(np.concatenate([first, [len(s)]]).astype(np.int64)))
+
+
+def ordered(key: np.ndarray, bound: int) -> np.ndarray:
+    """Stable order of keys from 0 to bound; sorted with their places in the lower bits where both fit, which is far faster."""
+    bits = max(1, (len(key) - 1).bit_length())
+    if bound.bit_length() + bits > 63:
+        return np.argsort(key, kind="stable")
+    return np.sort(key << bits | np.arange(len(key))) & ((1 << bits) - 1)
+
+
+def refined(order: np.ndarray, rank: np.ndarray, follow) -> np.ndarray:
+    """Order the suffixes that tie by the rank of what follows them (``follow`` tells which suffix that is), in place; their new ranks.
+
+    A rank is the place where the run of equals begins.
+    """
+    begins = rank[order]
+    ties = np.zeros(len(order), dtype=bool)
+    ties[1:] = begins[1:] == begins[:-1]
+    ties[:-1] |= ties[1:]
+    at = np.flatnonzero(ties)
+    tied, begins = order[at], begins[at]
+    then = rank[follow(tied)]
+    by = ordered(begins * len(order) + then, len(order) ** 2)
+    order[at] = tied = tied[by]
+    out = rank.copy()
+    out[tied] = run_starts([begins, then[by]], at)
+    return out
+
+
+def run_starts(keys: list[np.ndarray], at: np.ndarray) -> np.ndarray:
+    """For suffixes in order at places ``at``: the place where the run of equal keys begins."""
+    new = np.ones(len(at), dtype=bool)
+    new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    return np.maximum.accumulate(np.where(new, at, 0))
+
+
+#: Symbols that the first round takes at once.
+PACKED = 4
+
+
+def first_ranks(key: np.ndarray, ended: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order and ranks by the first PACKED symbols. Those that reach their terminator there (``ended``) differ from all others."""
+    order = ordered(key, 1 << 9 * PACKED)
+    alone = np.where(ended[order], np.arange(len(order)), -1)
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order] = run_starts([key[order], alone], np.arange(len(order)))
+    return order, rank
 
 
 def suffix_order(text: np.ndarray) -> np.ndarray:
-    """Suffix array of a shard whose terminators are negative, distinct and increasing: ranks of a few symbols, doubled until all differ."""
-    n, least = len(text), int(text.min())
-    base = 257 - least  # symbols from 1 on; 0 stands for what is past the end
-    k = 4 if base**4 < 2**62 else 1
-    symbol = np.zeros(n + k, dtype=np.int64)
-    symbol[:n] = text - (least - 1)
-    key = symbol[:n].copy()
-    for j in range(1, k):
-        key = key * base + symbol[j : n + j]
-    while True:
-        order = np.argsort(key, kind="stable")
-        fresh = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
-        if fresh[-1] == n - 1:
-            return order
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = fresh
-        follow = np.zeros(n, dtype=np.int64)
-        follow[: max(0, n - k)] = rank[k:] + 1
-        key = rank * (n + 2) + follow
-        k *= 2
+    """Suffix array of a shard whose terminators are negative and differ by their place."""
+    n = len(text)
+    end = np.append(text < 0, [True] * PACKED)
+    symbol = np.append(np.where(text < 0, 0, text + 1), [0] * PACKED)
+    key, ended = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=bool)
+    for j in range(PACKED):
+        ended |= end[j : n + j]
+        key = key << 9 | np.where(ended, 0, symbol[j : n + j])
+    order, rank = first_ranks(key, ended)
+    h = PACKED
+    while (rank[order] != np.arange(n)).any():
+        rank = refined(order, rank, lambda x: x + h)  # noqa: B023  one that ties doesn't end within h
+        h *= 2
+    return order
 
 
 def shard_transform(pieces: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -162,62 +225,114 @@ def shard_transform(pieces: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, n
     return before.astype(np.uint8), owner[order], place[order]  # UTF-8 has no byte 255
 
 
+def extensions(transforms: list[np.ndarray]) -> np.ndarray:
+    """For each suffix (numbered shard after shard) the number of the suffix one symbol longer; -1 where its piece begins."""
+    before, base = np.empty(sum(map(len, transforms)), dtype=np.int64), 0
+    for t in transforms:
+        before[base + np.argsort(t, kind="stable")] = base + np.arange(len(t))
+        base += len(t)
+    before[np.concatenate(transforms) == 0] = -1
+    return before
+
+
+def places(before: np.ndarray, sizes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The piece and the place in it of each suffix, by walking from the terminators (``ends``) to the front."""
+    owner, place = np.empty(len(before), dtype=np.int64), np.empty(len(before), dtype=np.int64)
+    at, piece, left = ends, np.arange(len(ends)), sizes
+    while len(at):
+        owner[at], place[at] = piece, left
+        go = left > 0
+        at, piece, left = before[at[go]], piece[go], left[go] - 1
+    return owner, place
+
+
+def terminators(transforms: list[np.ndarray]) -> np.ndarray:
+    """Numbers of the suffixes that are a terminator alone: the first ones of each shard, as many as its pieces."""
+    sizes = np.cumsum([0, *map(len, transforms)])
+    return np.concatenate([base + np.arange(int((t == 0).sum())) for base, t in zip(sizes.tolist(), transforms)])
+
+
 def merge_transforms(transforms: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray]:
     """The interleave (suffixes, numbered shard after shard, in merged order) and the common prefix of each with the one before it, both up to ``width`` bytes.
 
-    A round walks the suffixes in the order so far and files each one's predecessor, which its shard's transform gives,
-    under the symbol before it: the order by one more symbol. Two neighbours differ now when their symbols do or
-    those they came from did. Terminators come first, in the order of shards and pieces, and all differ.
+    The first round interleaves by PACKED symbols. Each other one takes an interleave by h symbols to
+    one by 2h (width at last): suffixes that tie are ordered by the rank of what follows their first h symbols, where
+    following is the inverse of the transforms' own extension. Suffixes that tie no more stay where they are. Terminators
+    come first and all differ, so a suffix that ends within h symbols never ties.
     """
-    symbols, n = np.concatenate(transforms), sum(map(len, transforms))
-    before, ended, base = np.empty(n, dtype=np.int32), [], 0
-    for t in transforms:
-        before[base + np.argsort(t, kind="stable")] = base + np.arange(len(t), dtype=np.int32)
-        ended.append(base + np.arange(int((t == 0).sum()), dtype=np.int32))
-        base += len(t)
-    ended = np.concatenate(ended)
-    k = len(ended)
-    merged, block = np.arange(n, dtype=np.int32), np.zeros(n, dtype=np.int32)
-    common = np.full(n, width, dtype=np.int16)
-    common[0] = 0
-    differ = np.empty(n, dtype=bool)
-    for done in range(width):
-        now = symbols[merged]
-        order = np.argsort(now, kind="stable")
-        now, block, merged = now[order], block[order], before[merged[order]]
-        merged[:k] = ended
-        np.not_equal(block[1:], block[:-1], out=differ[1:])
-        differ[1:] |= now[1:] != now[:-1]
-        differ[: k + 1] = True
-        common[differ & (common == width)] = done
-        np.cumsum(differ, dtype=np.int32, out=block)
+    symbols, before = np.concatenate(transforms), extensions(transforms)
+    n = len(before)
+    longer = np.flatnonzero(before >= 0)
+    next_one, head = np.full(n, -1, dtype=np.int64), np.zeros(n, dtype=np.int64)
+    next_one[before[longer]] = longer
+    head[before[longer]] = symbols[longer]  # a terminator's is 0
+    first = min(PACKED, width)
+    key, at, ended = np.zeros(n, dtype=np.int64), np.arange(n), np.zeros(n, dtype=bool)
+    ways = []  # ways[j]: what follows j + 1 symbols
+    for _ in range(first):
+        now = np.where(ended, 0, head[at])
+        ended |= now == 0
+        key = key << 8 | now
+        at = np.where(ended, -1, next_one[at])
+        ways.append(at)
+    merged, rank = first_ranks(key, ended)
+    rounds, h, jump = [], first, ways[-1]
+    while h < width:
+        rounds.append((h, rank, jump))
+        left, ahead = min(h, width - h), np.arange(n)
+        for size, _, way in reversed(rounds):  # what follows ``left`` symbols
+            if left >= size:
+                ahead, left = np.where(ahead >= 0, way[ahead], -1), left - size
+        if left:
+            ahead = np.where(ahead >= 0, ways[left - 1][ahead], -1)
+        h += min(h, width - h)
+        rank = refined(merged, rank, lambda x: ahead[x])  # noqa: B023
+        jump = np.where(jump >= 0, jump[jump], -1)
+    common, whole = np.zeros(n, dtype=np.int64), rank[merged[1:]] == rank[merged[:-1]]
+    x, y = merged[:-1][~whole].copy(), merged[1:][~whole].copy()
+    shared = np.zeros(len(x), dtype=np.int64)
+    for size, ranks, way in reversed(rounds):
+        alike = ranks[x] == ranks[y]
+        shared += size * alike
+        x, y = np.where(alike, way[x], x), np.where(alike, way[y], y)
+    differ = key[x] ^ key[y]  # the rest, within the first symbols
+    alike = np.ones(len(x), dtype=bool)
+    for j in range(first - 1, -1, -1):
+        alike &= ((differ >> (8 * j)) & 255 == 0) & ((key[x] >> (8 * j)) & 255 != 0)
+        shared += alike
+    common[1:][whole] = width
+    common[1:][~whole] = shared
     return merged, common
 
 
-def repeated(pieces: list[np.ndarray], where: np.ndarray, width: int, shards: int = 4) -> np.ndarray:
-    """(piece, place) of every string that also starts earlier. where: (doc, start) of each piece."""
-    deal = [np.arange(s, len(pieces), shards) for s in range(min(shards, len(pieces)))]
-    made = [shard_transform([pieces[i] for i in d]) for d in deal]
-    merged, common = merge_transforms([m[0] for m in made], width)
-    piece = np.concatenate([d[m[1]] for d, m in zip(deal, made)])[merged]
-    place = np.concatenate([m[2] for m in made])[merged]
+def repeated(transforms: list[np.ndarray], pieces: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """doc, start of every string that occurs twice in the shards' pieces, and whether it also starts earlier. pieces: doc, start, strings of the shards' pieces, in order."""
+    merged, common = merge_transforms(transforms, width)
+    sizes = pieces["strings"] + (width - 1)
+    piece, place = (x[merged] for x in places(extensions(transforms), sizes, terminators(transforms)))
     interval = np.cumsum(common < width)
-    sizes = np.array([len(p) for p in pieces])
     whole = np.flatnonzero(place + width <= sizes[piece])
-    piece, place, interval = piece[whole], place[whole], interval[whole]
-    order = np.lexsort([where["start"][piece] + place, where["doc"][piece], interval])
-    later = np.ones(len(order), dtype=bool)
-    later[0:1] = False
-    later[1:] = interval[order][1:] == interval[order][:-1]
-    hit = order[later]
-    return np.stack([piece[hit], place[hit]], axis=1)
-
-
-def pieces_of(records: np.ndarray, bodies: list[bytes], width: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Runs of strings of the snippets whose core (what all strings of some neighbouring offsets share) occurs twice."""
-    data = np.frombuffer(b"".join(bodies), dtype=np.uint8)
+    doc, start, interval = pieces["doc"][piece[whole]], pieces["start"][piece[whole]] + place[whole], interval[whole]
+    order = np.lexsort([start, doc, interval])
+    doc, start, interval = doc[order], start[order], interval[order]
+    again = np.zeros(len(order), dtype=bool)
+    again[1:] = interval[1:] == interval[:-1]
+    # one place may be in several pieces: only another place makes a string a repeated one
+    same = np.zeros(len(order), dtype=bool)
+    same[1:] = again[1:] & (doc[1:] == doc[:-1]) & (start[1:] == start[:-1])
+    doc, start, interval = doc[~same], start[~same], interval[~same]
+    later = np.zeros(len(doc), dtype=bool)
+    later[1:] = interval[1:] == interval[:-1]
+    twice = later.copy()
+    twice[:-1] |= later[1:]
+    return doc[twice], start[twice], later[twice]
+
+
+def recurring(records: np.ndarray, bodies: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The runs of strings of snippets whose core (what all strings of some neighbouring offsets share) occurs twice: the snippet, the piece, its bytes."""
     sizes = np.array([len(b) for b in bodies])
     base = np.cumsum(sizes) - sizes
+    data = np.concatenate(bodies)
     hashes = Hashes(data)
     high = records["offset"].astype(np.int64)
     row, group, reach_low, reach_high = offset_groups(records)
@@ -229,15 +344,25 @@ def pieces_of(records: np.ndarray, bodies: list[bytes], width: int) -> tuple[lis
     # neighbouring groups of one snippet make one piece
     order = np.lexsort([reach_low, row])
     row, reach_low, reach_high = row[order], reach_low[order], reach_high[order]
-    new = np.ones(len(row), dtype=bool)
-    new[1:] = (row[1:] != row[:-1]) | (reach_low[1:] != reach_high[:-1] + 1)
+    first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (reach_low[1:] != reach_high[:-1] + 1)])) if len(row) else np.empty(0, dtype=np.int64)
+    last = np.concatenate([first[1:], [len(row)]]).astype(np.int64)[: len(first)] - 1
+    row, begin, strings = row[first], high[row[first]] - reach_high[last], reach_high[last] - reach_low[first] + 1
+    return row, _pieces(records["doc"][row], records["start"][row] + begin, strings), [data[a:b] for a, b in zip(base[row] + begin, base[row] + begin + strings + (width - 1))]
+
+
+def _pieces(doc: np.ndarray, start: np.ndarray, strings: np.ndarray) -> np.ndarray:
+    out = np.empty(len(doc), dtype=PIECE)
+    out["doc"], out["start"], out["strings"] = doc, start, strings
+    return out
+
+
+def chained(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces of one document's records that follow one another, as those they pair with do in their document; and where each goes (``gram``)."""
+    r = records[np.lexsort([records["start"], records["two"], records["gram"]])]
+    new = np.ones(len(r), dtype=bool)
+    new[1:] = (r["gram"][1:] != r["gram"][:-1]) | (r["two"][1:] != r["two"][:-1]) | (r["start"][1:] != r["start"][:-1] + r["strings"][:-1])
     first = np.flatnonzero(new)
-    last = np.concatenate([first[1:], [len(row)]]).astype(np.int64) - 1
-    where = np.empty(len(first), dtype=[("doc", "<i8"), ("start", "<i8")])
-    begin = high[row[first]] - reach_high[last] if len(first) else np.empty(0, dtype=np.int64)
-    end = high[row[first]] - reach_low[first] + width if len(first) else begin
-    where["doc"], where["start"] = records["doc"][row[first]], records["start"][row[first]] + begin
-    return [data[base[r] + b : base[r] + e] for r, b, e in zip(row[first], begin, end)], where
+    return _pieces(r["doc"][first], r["start"][first], np.add.reduceat(r["strings"].astype(np.int64), first) if len(r) else r["strings"]), r["gram"][first]
 
 
 def merged_spans(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -272,7 +397,7 @@ def finer(data: bytes, records: np.ndarray, width: int) -> np.ndarray:
     out["start"] = at - reach_high
     out["strings"], out["offset"] = reach_high - reach_low + 1, reach_high
     out["gram"] = _mix(core ^ _mix(records["gram"][row] + group.astype(np.uint64)))
-    out["body"] = hashes.of(out["start"], out["start"] + out["strings"] + (width - 1))
+    out["one"], out["two"] = digests(data, out["start"], out["start"] + out["strings"] + (width - 1)).T
     return out
 
 
@@ -291,17 +416,28 @@ def core_of(at: np.ndarray, group: np.ndarray, width: int) -> tuple[np.ndarray,
     return at - group * OFFSETS, at + width - np.minimum((group + 1) * OFFSETS - 1, width - min(GRAM, width))
 
 
-def _by_doc(kind: int, records: np.ndarray) -> pa.RecordBatch:
-    """Rows of doc and its packed records."""
-    records = records[np.argsort(records["doc"], kind="stable")]
-    cuts = np.flatnonzero(np.concatenate([[True], records["doc"][1:] != records["doc"][:-1]])) if len(records) else np.empty(0, dtype=np.int64)
-    stops = np.concatenate([cuts[1:], [len(records)]]).astype(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(cuts), kind, dtype=np.int32)), pa.array(records["doc"][cuts]), pa.array([records[a:b].tobytes() for a, b in zip(cuts, stops)], pa.binary())], names=["kind", "doc", "pack"])
+def _by_doc(kind: int, doc: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+    """Rows of kind, doc and its packed rows."""
+    order = np.argsort(doc, kind="stable")
+    doc, rows = doc[order], rows[order]
+    cuts = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.empty(0, dtype=np.int64)
+    stops = np.concatenate([cuts[1:], [len(doc)]]).astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(cuts), kind, dtype=np.int32)), pa.array(doc[cuts]), pa.array([rows[a:b].tobytes() for a, b in zip(cuts, stops)], pa.binary())], names=["kind", "doc", "pack"])
+
+
+def _copies(kind: int, s: np.ndarray, rank: np.ndarray) -> pa.RecordBatch:
+    """Links of the third and later records of each class to the first, under its document."""
+    late = np.flatnonzero(rank > 1)
+    base = s[late - rank[late]]
+    links = np.empty(len(late), dtype=LINK)
+    links["base"] = base["start"]
+    for f in ("doc", "start", "strings"):
+        links[f] = s[f][late]
+    return _by_doc(kind, base["doc"], links)
 
 
-def _spans_by_doc(later: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
-    for rows in _span_rows(later["doc"], later["start"], later["start"] + later["strings"] + (width - 1)):
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), GONE, dtype=np.int32)), rows.column(0), rows.column(1)], names=["kind", "doc", "pack"])
+def range_of(gram: np.ndarray, ranges: int) -> np.ndarray:
+    return np.minimum(((_mix(gram) >> np.uint64(11)).astype(np.float64) / float(1 << 53) * ranges).astype(np.int64), ranges - 1)
 
 
 def _routed(batch: pa.RecordBatch, ranges: int) -> pa.RecordBatch:
@@ -309,36 +445,43 @@ def _routed(batch: pa.RecordBatch, ranges: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(-1 - batch.column("doc").to_numpy() % ranges), *batch.columns], names=["part", *batch.schema.names])
 
 
+def _divided(of: np.ndarray, rows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each value of a sorted array with the rows that have it."""
+    values, first = np.unique(of, return_index=True)
+    for v, a, b in zip(values.tolist(), first.tolist(), [*first[1:].tolist(), len(of)]):
+        yield v, rows[a:b]
+
+
 def _grams(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where a gram begins in sorted records, and how many it has."""
     change = np.flatnonzero(np.concatenate([[True], records["gram"][1:] != records["gram"][:-1]])) if len(records) else np.empty(0, dtype=np.int64)
     return change, np.diff(np.concatenate([change, [len(records)]])).astype(np.int64)
 
 
-def settle(texts: DataFrame, made, width: int, ranges: int, hot: bool) -> DataFrame:
-    """kind, doc, pack of texts: what goes already (GONE: spans), what must be merged (MIXED: records), and records of crowded minimizers (HOT).
+def route(texts: DataFrame, made, width: int, ranges: int, hot: bool) -> DataFrame:
+    """kind, doc, pack of texts: copies of a first (NEAR, FAR: links), what must be merged (MIXED: records), and records of crowded minimizers (HOT).
 
-    made: the records of a row of a batch. Each task settles the classes that it sees first and passes on one record of each,
-    so a class that is everywhere costs a record a task. With ``hot``, a minimizer with many classes in one task passes on
-    only a mark, and one with many classes in all isn't merged as it is: its records come back as HOT.
+    made: the records of a row of a batch. Each task passes on the first two records of a class that it sees, and notes the others as
+    copies, so a class that is everywhere costs two records a task. With ``hot``, a minimizer with many records in one task passes on
+    only a mark, and one with many records in all isn't merged as it is: its records come back as HOT.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
         def hand_on():
-            s, new = classes(np.concatenate(held))
+            s, rank = classes(np.concatenate(held))
             held.clear()
-            yield from (_routed(b, ranges) for b in _spans_by_doc(s[~new], width))
-            s = s[new]
+            yield _routed(_copies(NEAR, s, rank), ranges)
+            s = s[rank < 2]
             if hot:
                 change, count = _grams(s)
                 crowded = np.repeat(count > LOCAL_CROWD, count)
-                yield _routed(_by_doc(HOT, s[crowded]), ranges)
+                yield _routed(_by_doc(HOT, s["doc"][crowded], s[crowded]), ranges)
                 mark = s[change[count > LOCAL_CROWD]].copy()
                 mark["strings"] = 0
                 s = np.concatenate([s[~crowded], mark])
-            of = np.minimum(((_mix(s["gram"]) >> np.uint64(11)).astype(np.float64) / float(1 << 53) * ranges).astype(np.int64), ranges - 1)
+            of = range_of(s["gram"], ranges)
             order = np.argsort(of, kind="stable")
             s, of = s[order], of[order]
             cuts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else np.empty(0, dtype=np.int64)
@@ -368,106 +511,187 @@ def settle(texts: DataFrame, made, width: int, ranges: int, hot: bool) -> DataFr
                     continue
                 records = np.concatenate([np.frombuffer(p.as_py(), dtype=RECORD) for p in own.field("pack")])
                 marked = records["gram"][records["strings"] == 0]
-                s, new = classes(records[records["strings"] > 0])
-                yield from _spans_by_doc(s[~new], width)
-                s = s[new]
+                s, rank = classes(records[records["strings"] > 0])
+                yield _copies(FAR, s, rank)
+                s = s[rank < 2]
+                rank = rank[rank < 2]
                 change, count = _grams(s)
+                kinds = np.add.reduceat(rank == 0, change, dtype=np.int64) if len(s) else count
                 crowded = np.isin(s["gram"][change], marked) | (hot & (count > CROWD))
-                yield _by_doc(HOT, s[np.repeat(crowded, count)])
-                yield _by_doc(MIXED, s[np.repeat(~crowded & (count > 1), count)])
+                for kind, which in ((HOT, crowded), (MIXED, ~crowded & (kinds > 1))):
+                    chosen = np.repeat(which, count)
+                    yield _by_doc(kind, s["doc"][chosen], s[chosen])
+                # the two of a class that is alone with its minimizer meet under the first one's document
+                pair = s[np.repeat(~crowded & (kinds == 1) & (count == 2), count)].copy()
+                pair["two"] = (pair["start"] - np.repeat(pair["start"][::2], 2)).view(np.uint64)
+                pair["gram"], pair["offset"] = _mix(np.repeat(pair["doc"][::2], 2).view(np.uint64)), ALONE
+                yield _by_doc(MIXED, pair["doc"], pair)
 
     rows = texts.mapInArrow(cut, "part long, kind int, doc long, pack binary")
     grouped = rows.groupBy("part").agg(F.collect_list(F.struct("kind", "doc", "pack")).alias("packs"))
-    return stored(grouped.mapInArrow(decide, "kind int, doc long, pack binary"), "settled")
+    return stored(grouped.mapInArrow(decide, "kind int, doc long, pack binary"), "routed")
 
 
-def repeated_spans(firsts: DataFrame, width: int) -> DataFrame:
-    """doc, spans (packed) of what goes from first texts. firsts: doc, text."""
-    size = firsts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = max(16, int(size >> 23))
-    text_of = lambda batch, k: (batch.column("text")[k].as_py() or "").encode("utf-8", "surrogatepass")
-    listed = lambda df, kind: stored(df.where(F.col("kind") == kind).groupBy("doc").agg(F.collect_list("pack").alias("records")), "records")
-    settled = settle(firsts, lambda batch, k: snippets(text_of(batch, k), width, batch.column("doc")[k].as_py()), width, ranges, True)
-    hot = listed(settled, HOT)
+def inherit(copies: DataFrame, known: DataFrame) -> DataFrame:
+    """doc, spans of the copies whose first is repeated throughout. copies: doc, pack of links; known: doc, spans of string starts that are repeated."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for packed, spans in zip(batch.column("pack"), batch.column("spans").to_pylist()):
+                links, s = np.frombuffer(packed.as_py(), dtype=LINK), np.frombuffer(b"".join(spans), dtype=SPAN)
+                s = merged_spans(s["start"], s["end"])
+                at = np.searchsorted(s["start"], links["base"], "right") - 1
+                found.append(links[(at >= 0) & (s["end"][at] >= links["base"] + links["strings"])])
+            every = np.concatenate(found) if found else np.empty(0, dtype=LINK)
+            yield from _span_rows(every["doc"], every["start"], every["start"] + every["strings"])
+
+    listed = stored(known.groupBy("doc").agg(F.collect_list("spans").alias("spans")), "repeated")
+    return stored(copies.select("doc", "pack").join(listed, "doc").select("pack", "spans").mapInArrow(run, "doc long, spans binary"), "copies")
+
+
+def repeated_spans(texts: DataFrame, width: int) -> DataFrame:
+    """doc, spans (packed, of string starts) of what goes. texts: doc, text, each document once."""
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = max(16, size // RANGE_BYTES)
+    text_of = lambda batch, k: batch.column("text")[k].as_py().encode("utf-8", "surrogatepass")
+    # what is known of a document grows with the corpus, so these joins have one plan at every size
+    listed = lambda df: stored(df.groupBy("doc").agg(F.collect_list("pack").alias("records")), "records")
+    levels = [route(texts, lambda batch, k: snippets(text_of(batch, k), width, batch.column("doc")[k].as_py()), width, ranges, True)]
+    hot = listed(levels[0].where(F.col("kind") == HOT))
     if not hot.isEmpty():
-        again = join_texts(firsts, hot, "doc", broadcast=False)
+        again = join_texts(texts, hot, "doc", broadcast=False)
         cut_again = lambda batch, k: finer(text_of(batch, k), np.frombuffer(b"".join(batch.column("records")[k].as_py()), dtype=RECORD), width)
-        settled = settled.where(F.col("kind") != HOT).unionByName(settle(again, cut_again, width, ranges, False))
-    # what is known of a document grows with the corpus, so these joins have one plan at every size
-    mixed = listed(settled, MIXED)
+        levels.insert(0, route(again, cut_again, width, ranges, False))
+    mixed = levels[0].where(F.col("kind") == MIXED)
+    for level in levels[1:]:
+        mixed = mixed.unionByName(level.where(F.col("kind") == MIXED))
 
-    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The bytes of the snippets that need merging."""
-        for batch in batches:
-            parts, taken, bodies = [], [], []
-            for text, packed in zip(batch.column("text"), batch.column("records")):
-                data, r = text.as_py().encode("utf-8", "surrogatepass"), np.frombuffer(b"".join(packed.as_py()), dtype=RECORD)
-                bodies += [data[a:b] for a, b in zip(r["start"].tolist(), (r["start"] + r["strings"] + (width - 1)).tolist())]
-                parts.append((_mix(r["gram"] ^ np.uint64(0xA5A5A5A5)) >> np.uint64(1)).astype(np.int64))
-                taken += [x.tobytes() for x in r]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts) if parts else np.empty(0, np.int64)), pa.array(taken, pa.binary()), pa.array(bodies, pa.binary())], names=["part", "record", "body"])
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The transform of a task's pieces, SHARD bytes at a time, and its other snippets, both divided by ranges."""
 
-    amount = (mixed.agg(F.sum(F.aggregate("records", F.lit(0).cast("long"), lambda a, p: a + F.octet_length(p)))).first()[0] or 0) // RECORD.itemsize * 140
-    bodies = join_texts(firsts, mixed, "doc", broadcast=False).mapInArrow(take, "part long, record binary, body binary").repartition(max(16, int(amount >> 22)), "part").sortWithinPartitions("part")
+        def hand_on():
+            rows = []
+            if pieces:
+                own, part = np.concatenate(pieces), range_of(np.concatenate(routes), ranges)
+                order = np.argsort(part, kind="stable")
+                own, part = own[order], part[order]
+                transform, owner, _ = shard_transform([bodies[i] for i in order.tolist()])
+                of = part[owner]
+                by = np.argsort(of, kind="stable")  # within a range, the order of the suffixes stays
+                rows += [(p, True, own[part == p].tobytes(), t.tobytes()) for p, t in _divided(of[by], transform[by])]
+            if held:
+                own = np.concatenate(held)
+                part = range_of(own["gram"], ranges)
+                order = np.argsort(part, kind="stable")
+                for p, at in _divided(part[order], order):
+                    rows.append((p, False, own[at].tobytes(), b"".join([snippet_bodies[i] for i in at.tolist()])))
+            for x in (pieces, routes, bodies, held, snippet_bodies):
+                x.clear()
+            kinds = [pa.int64(), pa.bool_(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["part", "made", "records", "data"])
+
+        pieces, routes, bodies, held, snippet_bodies, size = [], [], [], [], [], 0
+        for batch in batches:
+            for k, packed in enumerate(batch.column("records")):
+                r, data = np.frombuffer(b"".join(packed.as_py()), dtype=RECORD), text_of(batch, k)
+                flat = np.frombuffer(data, dtype=np.uint8)
+                own, way = chained(r[r["offset"] == ALONE])
+                r = r[r["offset"] != ALONE]
+                if len(own):
+                    pieces.append(own), routes.append(way)
+                    bodies += [flat[a:b] for a, b in zip(own["start"].tolist(), (own["start"] + own["strings"] + (width - 1)).tolist())]
+                if len(r):
+                    held.append(r)
+                    snippet_bodies += [data[a:b] for a, b in zip(r["start"].tolist(), (r["start"] + r["strings"] + (width - 1)).tolist())]
+                size += int(own["strings"].sum()) + len(own) * (width - 1)
+                if size >= SHARD or len(snippet_bodies) >= FLUSH:
+                    yield from hand_on()
+                    size = 0
+        if pieces or held:
+            yield from hand_on()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Snippets of one minimizer stay together; others are gathered up to MERGE bytes."""
-        records, bodies, size, last = [], [], 0, None
+        """Whole ranges, gathered up to MERGE bytes."""
+        rows, size, last = [], 0, None
 
         def finish():
-            pieces, where = pieces_of(np.frombuffer(b"".join(records), dtype=RECORD), bodies, width)
-            if len(pieces):
-                hit = repeated(pieces, where, width)
-                start = where["start"][hit[:, 0]] + hit[:, 1]
-                yield from _span_rows(where["doc"][hit[:, 0]], start, start + width)
+            transforms = [np.frombuffer(data, dtype=np.uint8) for made, _, data in rows if made]
+            pieces = [np.frombuffer(r, dtype=PIECE) for made, r, _ in rows if made]
+            loose = [np.frombuffer(r, dtype=RECORD) for made, r, _ in rows if not made]
+            if loose:
+                sender = np.repeat(np.arange(len(loose)), [len(r) for r in loose])
+                every = np.concatenate(loose)
+                sizes = np.cumsum([0, *(every["strings"].astype(np.int64) + (width - 1))]).tolist()
+                data = np.frombuffer(b"".join([d for made, _, d in rows if not made]), dtype=np.uint8)
+                row, found, bodies = recurring(every, [data[a:b] for a, b in zip(sizes, sizes[1:])], width)
+                for _, at in _divided(sender[row], np.arange(len(row))):
+                    pieces.append(found[at])
+                    transforms.append(shard_transform([bodies[i] for i in at.tolist()])[0])
+            if not pieces:
+                return
+            doc, start, later = repeated(transforms, np.concatenate(pieces), width)
+            for kind, which in ((REPEATED, slice(None)), (GONE, later)):
+                for made in _span_rows(doc[which], start[which], start[which] + 1):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(made), kind, dtype=np.int32)), *made.columns], names=["kind", "doc", "spans"])
 
         for batch in batches:
-            for part, record, body in zip(batch.column("part").to_pylist(), batch.column("record").to_pylist(), batch.column("body").to_pylist()):
+            for part, *row in zip(*(batch.column(c).to_pylist() for c in ("part", "made", "records", "data"))):
                 if size >= MERGE and part != last:
                     yield from finish()
-                    records, bodies, size = [], [], 0
-                records.append(record), bodies.append(body)
-                size, last = size + len(body), part
-        if records:
+                    rows, size = [], 0
+                rows.append(row)
+                size, last = size + len(row[2]), part
+        if rows:
             yield from finish()
 
-    found = bodies.mapInArrow(merge, "doc long, spans binary")
-    every = found.unionByName(settled.where(F.col("kind") == GONE).select("doc", F.col("pack").alias("spans")))
-    out = stored(every.groupBy("doc").agg(F.collect_list("spans").alias("spans")), "spans")
-    forget(mixed)
-    return out
+    wanted = listed(mixed)
+    amount = (wanted.agg(F.sum(F.aggregate("records", F.lit(0).cast("long"), lambda a, p: a + F.octet_length(p)))).first()[0] or 0) // RECORD.itemsize * 140
+    sent = join_texts(texts, wanted, "doc", broadcast=False).mapInArrow(shards, "part long, made boolean, records binary, data binary")
+    found = stored(sent.repartition(tasks_for(amount), "part").sortWithinPartitions("part").mapInArrow(merge, "kind int, doc long, spans binary"), "merged")
+    known, gone = (found.where(F.col("kind") == k).select("doc", "spans") for k in (REPEATED, GONE))
+    # a task's first may be a copy of the first of all, and a first of a crowded minimizer is known by its finer pieces
+    for level in levels:
+        for kind in (FAR, NEAR):
+            made = inherit(level.where(F.col("kind") == kind), known)
+            known, gone = known.unionByName(made), gone.unionByName(made)
+    return gone.groupBy("doc").agg(F.collect_list("spans").alias("spans"))
+
+
+def documents(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, bool]:
+    """key, doc (a number in the order of documents) and text of every row, and whether no document repeats.
+
+    Integer keys that are all there and differ are their own numbers. Otherwise the distinct keys and hashes of texts are sorted and numbered.
+    """
+    read = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    integral = isinstance(docs.schema[key].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
+    if integral and read.groupBy("key").count().where("count > 1 OR key IS NULL").isEmpty():
+        return read.select("key", F.col("key").cast("long").alias("doc"), "text"), True
+    named = read.withColumn("name", F.struct("key", F.xxhash64("text").alias("of")))
+    order = named.select("name").distinct().orderBy("name").select("name", F.monotonically_increasing_id().alias("doc"))
+    return join_texts(named, stored(order, "documents"), "name").select("key", "doc", "text"), False
 
 
 def remove_repeats(docs: DataFrame, width: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: key, n_bytes, n_removed, n_spans, kept (binary) and copy_of (the first document with the same text)."""
-    read = docs.select(F.col(key).cast("long").alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    digests = stored(read.where(F.octet_length("text") >= width).select("doc", F.sha2("text", 256).alias("digest")), "digests")
-    groups = stored(digests.groupBy("digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").select("digest", "first"), "copied-texts")
-    copies = stored(digests.join(small(groups), "digest").where("doc > first").select("doc", "first").distinct(), "copies")
-    marked = join_texts(read, copies, "doc", "left")
-    firsts = marked.where(F.col("first").isNull() & F.col("doc").isNotNull() & (F.octet_length("text") >= width)).select("doc", "text")
-    spans = repeated_spans(firsts, width)
+    """Per row: key, n_bytes, n_removed, n_spans and kept (binary)."""
+    rows, single = documents(docs, key, text)
+    texts = rows.where(F.octet_length("text") >= width).select("doc", "text")
+    texts = texts if single else stored(texts.dropDuplicates(["doc"]), "texts")
+    spans = concluded(lambda: repeated_spans(texts, width), "spans")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size, gone, runs, kept = [], [], [], []
-            for first, value, packed in zip(batch.column("first").to_pylist(), batch.column("text"), batch.column("spans").to_pylist()):
-                data = value.as_py().encode("utf-8", "surrogatepass")
-                if first is not None:
-                    s = np.array([(0, len(data))], dtype=SPAN)
-                else:
-                    s = np.frombuffer(b"".join(packed or []), dtype=SPAN)
-                    s = merged_spans(s["start"], s["end"])
+            for value, packed in zip(batch.column("text"), batch.column("spans").to_pylist()):
+                data, s = value.as_py().encode("utf-8", "surrogatepass"), np.frombuffer(b"".join(packed or []), dtype=SPAN)
+                s = merged_spans(s["start"], s["end"] + (width - 1))
                 at, left = 0, []
                 for a, b in s.tolist():
                     left.append(data[at:a])
                     at = b
                 size.append(len(data)), gone.append(int((s["end"] - s["start"]).sum())), runs.append(len(s)), kept.append(b"".join([*left, data[at:]]))
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary()), batch.column("first")], names=["doc", "n_bytes", "n_removed", "n_spans", "kept", "copy_of"])
-
-    made = join_texts(marked, spans, "doc", "left", broadcast=False).mapInArrow(apply, "doc long, n_bytes long, n_removed long, n_spans long, kept binary, copy_of long")
-    return made.select(F.col("doc").alias(key), "n_bytes", "n_removed", "n_spans", "kept", "copy_of")
-
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(size, pa.int64()), pa.array(gone, pa.int64()), pa.array(runs, pa.int64()), pa.array(kept, pa.binary())], names=["key", "n_bytes", "n_removed", "n_spans", "kept"])
 
-def sha256(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
+    schema = T.StructType([T.StructField("key", docs.schema[key].dataType), *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept", T.BinaryType())])
+    made = join_texts(rows, spans, "doc", "left", broadcast=False).select("key", "text", "spans").mapInArrow(apply, schema)
+    return made.select(F.col("key").alias(key), "n_bytes", "n_removed", "n_spans", "kept")

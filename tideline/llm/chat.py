@@ -8,7 +8,8 @@ further ones becomes a turn without its marker.
 Null and empty transcripts have no turns. Blank lines belong to no turn unless text of the same turn follows. Equal
 transcripts give equal turns; an empty table gives an empty result; columns other than key and text pass through
 unless they clash with the output's. Without training rows every transition and feature is equally likely, and
-markers alone, which name their role, decide.
+markers alone, which name their role, decide. Roles that are null or not among ROLES are written as the user's; null
+turns come first. Turn marks inside a text are written apart (``<\\|im_``), so that no text can open a turn.
 """
 
 from __future__ import annotations
@@ -25,19 +26,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROLES = ["system", "user", "assistant"]
+ROLES = ["system", "user", "assistant", "tool"]
+STATES = 2 * len(ROLES)
 # The names that mark a speaker, by role.
-SPEAKERS = {"system": ["system", "instructions"], "user": ["user", "human", "you", "prompter", "question", "q", "instruction"], "assistant": ["assistant", "ai", "bot", "model", "answer", "a", "response", "gpt"]}
+SPEAKERS = {"system": ["system", "instructions"], "user": ["user", "human", "you", "prompter", "question", "q", "instruction"], "assistant": ["assistant", "ai", "bot", "model", "answer", "a", "response", "gpt"], "tool": ["tool", "function", "observation"]}
 NAMES = {name: role for role, names in SPEAKERS.items() for name in names}
 MARKER = re.compile(r"\s*(?:<\|\s*(%s)\s*\|>|(?:#{1,4}\s*|\*\*|\[)?(%s)(?:\*\*|\])?\s*:(?:\*\*)?)\s*" % (("|".join(sorted(NAMES, key=len, reverse=True)),) * 2), re.IGNORECASE)
 
 
 @dataclass
 class Model:
-    """Log-probabilities over 6 states: role * 2, plus 1 for further lines."""
+    """Log-probabilities over the states: role * 2, plus 1 for further lines."""
 
-    start: np.ndarray = field(default_factory=lambda: np.array([0.0, -20.0] * 3))
-    move: np.ndarray = field(default_factory=lambda: np.array([[0.0 if t % 2 == 0 or t // 2 == s // 2 else -20.0 for t in range(6)] for s in range(6)]))
+    start: np.ndarray = field(default_factory=lambda: np.array([0.0, -20.0] * len(ROLES)))
+    move: np.ndarray = field(default_factory=lambda: np.array([[0.0 if t % 2 == 0 or t // 2 == s // 2 else -20.0 for t in range(STATES)] for s in range(STATES)]))
     emit: dict[str, np.ndarray] = field(default_factory=dict)
 
 
@@ -64,7 +66,7 @@ def features(lines: list[str]) -> list[tuple[int, list[str]]]:
 
 
 def emission(model: Model, found: list[str]) -> np.ndarray:
-    score = np.zeros(6)
+    score = np.zeros(STATES)
     for f in found:
         if f in model.emit:
             score = score + model.emit[f]
@@ -105,16 +107,16 @@ def parse(text: str | None, model: Model) -> list[tuple[str, str]]:
 
 
 def canonical(turns: list[tuple[str, str]]) -> str:
-    return "".join(f"<|im_start|>{role}\n{text}<|im_end|>\n" for role, text in turns)
+    return "".join(f"<|im_start|>{role}\n{text.replace('<|im_', '<\\|im_')}<|im_end|>\n" for role, text in turns)
 
 
 # ---- transcripts from conversations -------------------------------------------------------------------------
 
 STYLES = [
-    lambda role, text: {"system": "System: ", "user": "User: ", "assistant": "Assistant: "}[role] + text,
-    lambda role, text: {"system": "### System:\n", "user": "### Human:\n", "assistant": "### Response:\n"}[role] + text,
+    lambda role, text: {"system": "System: ", "user": "User: ", "assistant": "Assistant: ", "tool": "Tool: "}[role] + text,
+    lambda role, text: {"system": "### System:\n", "user": "### Human:\n", "assistant": "### Response:\n", "tool": "### Function:\n"}[role] + text,
     lambda role, text: f"<|{role}|>\n{text}",
-    lambda role, text: {"system": "Instructions: ", "user": "Q: ", "assistant": "A: "}[role] + text,
+    lambda role, text: {"system": "Instructions: ", "user": "Q: ", "assistant": "A: ", "tool": "Observation: "}[role] + text,
     lambda role, text: text,
 ]
 
@@ -184,14 +186,14 @@ def fit(table: DataFrame, limit: int = 4_000, key: str = "conv_id") -> Model:
 
     counts = conversations_of(chosen, key).mapInArrow(count, "kind string, given string, state int, n long").groupBy("kind", "given", "state").agg(F.sum("n").alias("n")).collect()  # some 150 rows
     model = Model()
-    start, move, emit = np.ones(6), np.ones((6, 6)), {}
+    start, move, emit = np.ones(STATES), np.ones((STATES, STATES)), {}
     for r in counts:
         if r["kind"] == "start":
             start[r["state"]] += r["n"]
         elif r["kind"] == "move":
             move[int(r["given"]), r["state"]] += r["n"]
         else:
-            emit.setdefault(r["given"], np.ones(6))[r["state"]] += r["n"]
+            emit.setdefault(r["given"], np.ones(STATES))[r["state"]] += r["n"]
     if counts:
         model.start, model.move = np.log(start / start.sum()), np.log(move / move.sum(axis=1, keepdims=True))
         for group in {f.split(" ")[0] for f in emit}:

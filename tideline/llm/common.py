@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,11 @@ def split_words(text: Column, separators: str = SPACES) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), separators), "")
 
 
+def document(key: str, text: str) -> Column:
+    """What tells a document from others, and orders it: its key, then a hash of its text."""
+    return F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("of"))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """This application's part of the cluster's shared folder; a temporary one only where none is configured, as in tests."""
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -35,21 +41,45 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tideline-{spark.sparkContext.applicationId}"
 
 
+#: Folders of tables that stored() wrote and nothing has deleted.
+_written: list[str] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back: lineage ends there, and lost executors lose nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def concluded(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """Store what make() returns, and delete the tables that were stored on the way there."""
+    before = len(_written)
+    made = make()
+    spark, last = made.sparkSession, len(_written)
+    out = stored(made, name)
+    for path in _written[before:last]:
+        _delete(spark, path)
+    del _written[before:last]
+    return out
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def forget(df: DataFrame) -> None:
     """Delete the files of a table made by stored() that nothing reads any more."""
-    spark = df.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for parent in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(parent)
-        path.getFileSystem(conf).delete(path, True)
+        _delete(df.sparkSession, parent)
+
+
+def tasks_for(size: int) -> int:
+    """Tasks for so many bytes of rows that need much work each: 4 MB a task, or up to 256 MB where that would be over 32,768 tasks."""
+    return max(16, min(size >> 22, max(1 << 15, size >> 28)))
 
 
 #: Bytes up to which a table is broadcast once it has been measured; beyond, its joins shuffle.
@@ -64,7 +94,7 @@ def fits(df: DataFrame) -> bool:
     for f in df.schema:
         kind = f.dataType.typeName()
         flat = kind == "array" and f.dataType.elementType.typeName() in ("integer", "long", "double")
-        per = {"array": F.size(f.name) * (8 if flat else 48), "string": F.octet_length(f.name), "binary": F.octet_length(f.name)}.get(kind, F.lit(8))
+        per = {"array": F.size(f.name) * (8 if flat else 48), "string": F.octet_length(f.name), "binary": F.octet_length(f.name), "struct": F.lit(32)}.get(kind, F.lit(8))
         size = size + F.coalesce(per, F.lit(0))
     return (df.agg(F.sum(size.cast("long"))).first()[0] or 0) <= BROADCAST_BYTES
 
@@ -92,3 +122,10 @@ def join_texts(texts: DataFrame, keyed: DataFrame, key: str, how: str = "inner",
     if how == "inner":
         return maybe
     return maybe.unionByName(marked.where(~held).select(*texts.columns), allowMissingColumns=True)
+
+
+def without(rows: DataFrame, gone: DataFrame, name: Column) -> DataFrame:
+    """The rows whose name isn't in ``gone``, a stored table of one column of distinct names; long rows move as in join_texts()."""
+    marked = gone.select(F.col(gone.columns[0]).alias("row_name"), F.lit(True).alias("row_gone"))
+    named = rows.select(F.struct(*rows.columns).alias("row"), name.alias("row_name"))
+    return join_texts(named, marked, "row_name", "left").where("row_gone IS NULL").select("row.*")

@@ -1,9 +1,9 @@
 """Near-duplicate lines by a deletion-neighbourhood join; DataFrame functions only.
 
-Lines are the \\n-split pieces of a text, compared as sequences of words; those with fewer than ``min_words`` words
-are never touched. A line goes when an earlier one (smaller key, then smaller line number) is equal to it or within
-one edit: one word put in, left out or replaced. Whether that earlier line itself goes doesn't matter, so the
-earliest of a group always stays.
+Lines are the \\n-split pieces of a text, compared as sequences of words; those without a word are never touched. A
+line goes when an earlier one (smaller key, then smaller line number) is equal to it or, both having ``min_words`` words
+or more, within one edit: one word put in, left out or replaced. Whether that earlier line itself goes doesn't matter,
+so the earliest of a group always stays.
 
 1. equal lines meet on one hash of their words; each distinct line goes on once;
 2. one edit leaves the first or the last half of the words as it is, so only lines that share a half can be close
@@ -12,8 +12,10 @@ earliest of a group always stays.
    the same place differ in that word only, and a variant equal to a whole line is one word longer;
 4. each group of equal variants yields its earliest line, never its pairs; the edit distance to it is verified.
 
-Null and empty texts have no lines and stay as they are. Rows that share a key count as one document and lose
-the same lines. An empty table gives an empty result. Other columns pass through whatever their names.
+Null and empty texts have no lines and stay as they are. A document is a key and its text: rows that repeat both lose
+the same lines, and rows that share a key but not the text are documents of their own, ordered by a hash of the text.
+A null key is one like any other and the smallest. An empty table gives an empty result. Other columns pass through
+whatever their names.
 """
 
 from __future__ import annotations
@@ -21,12 +23,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, join_texts, small, split_words, stored
+from .common import concluded, document, forget, join_texts, small, split_words, stored
 
-def lines_of(docs: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
-    """doc, line, w (words) of every line long enough."""
-    split = docs.select(F.col(key).alias("doc"), F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("line", "t"))
-    return split.select("doc", "line", split_words(F.col("t")).alias("w")).where(F.size("w") >= min_words)
+
+def lines_of(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """doc, line, w (words) of every line that has any."""
+    split = docs.select(document(key, text).alias("doc"), F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("line", "t"))
+    return split.select("doc", "line", split_words(F.col("t")).alias("w")).where(F.size("w") > 0)
 
 
 def word_hashes(w: str) -> Column:
@@ -54,7 +57,7 @@ def edits_at_most_one(a: str, b: str) -> Column:
 def near_lines(firsts: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
     """h of the distinct lines that have an earlier one within one edit. firsts: h, at (doc, line) of the lines to try."""
     wanted = stored(firsts.groupBy(F.col("at.doc").alias("doc")).agg(F.collect_list(F.struct(F.col("at.line").alias("line"), "h")).alias("wanted")), "lines-to-try")
-    texts = join_texts(docs.select(F.col(key).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("t")), wanted, "doc")
+    texts = join_texts(docs.select(document(key, text).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("t")), wanted, "doc")
     lines = texts.select("doc", F.split("t", "\n").alias("t"), "wanted").select("doc", "t", F.inline("wanted"))
     found = lines.select("h", F.struct("doc", "line").alias("at"), split_words(F.get("t", F.col("line"))).alias("w")).dropDuplicates(["h"])
     found = stored(found.withColumn("hashes", word_hashes("w")), "near-lines")
@@ -77,8 +80,8 @@ def near_lines(firsts: DataFrame, docs: DataFrame, key: str, text: str) -> DataF
 
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 5) -> DataFrame:
     """doc, line of every line that goes."""
-    hashed = lines_of(docs, key, text, min_words).select("doc", "line", word_hashes("w").alias("w"))
-    filed = stored(hashed.select("doc", "line", F.xxhash64("w").alias("h"), half_keys("w").alias("keys")), "lines")
+    hashed = lines_of(docs, key, text).select("doc", "line", word_hashes("w").alias("w"))
+    filed = stored(hashed.select("doc", "line", F.xxhash64("w").alias("h"), F.when(F.size("w") >= min_words, half_keys("w")).alias("keys")), "lines")
     firsts = stored(filed.groupBy("h").agg(F.min(F.struct("doc", "line")).alias("at"), F.count(F.lit(1)).alias("n")), "first-lines")
     halves = filed.select("h", F.explode("keys").alias("k"))
     shared = stored(halves.groupBy("k").agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a < b").select("k"), "shared-halves")
@@ -92,11 +95,11 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 5) -> DataFrame:
     """The input rows and columns with duplicate lines taken out of text, and n_lines_removed."""
-    gone = removed_lines(docs, key, text, min_words).distinct().groupBy("doc").agg(F.sort_array(F.collect_list("line")).alias("gone"))
-    gone = stored(gone.withColumnRenamed("doc", "row_key"), "removed-lines")
+    listed = lambda: removed_lines(docs, key, text, min_words).distinct().groupBy(F.col("doc").alias("row_key")).agg(F.sort_array(F.collect_list("line")).alias("gone"))
+    gone = concluded(listed, "removed-lines")
     # for each line up to the last that goes: whether it stays
     stays = F.flatten(F.transform("gone", lambda x, k: F.concat(F.array_repeat(F.lit(True), x - F.coalesce(F.get("gone", k - 1), F.lit(-1)) - 1), F.array(F.lit(False)))))
-    rows = join_texts(docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("row_key"), F.col(text).alias("t")), gone, "row_key", "left")
+    rows = join_texts(docs.select(F.struct(*docs.columns).alias("row"), document(key, text).alias("row_key"), F.col(text).alias("t")), gone, "row_key", "left")
     rows = rows.withColumn("stays", stays)
     kept = F.when(F.col("gone").isNull(), F.col("t")).otherwise(F.array_join(F.filter(F.split("t", "\n"), lambda line, i: F.coalesce(F.get("stays", i), F.lit(True))), "\n"))
     made = F.struct(kept.alias("kept"), F.greatest(F.coalesce(F.size("gone"), F.lit(0)), F.lit(0)).alias("n_lines_removed"))

@@ -1,10 +1,11 @@
 """Sequence packing: optimal length buckets, then token-budget batches inside each bucket.
 
-Texts are read once, for their lengths; only the lengths' histogram (bounded by the length grid, not by the rows) reaches the
-driver, where dynamic programming picks the bucket boundaries with the least padding. Every document gets a
+Texts are read once, for their lengths; only the lengths' histogram (a row a distinct length, so of n tokens in all fewer than
+sqrt(2 n) rows) reaches the driver, where dynamic programming picks the bucket boundaries with the least padding. Every document gets a
 place: nothing is truncated, and a document longer than the budget makes a batch of its own. Null and empty
 texts have length 0 and fall in the first bucket, whose sequences still occupy one slot. Equal lengths share a
-bucket; repeated rows each get a slot; an empty table gives an empty result; clashing input columns are not read.
+bucket; repeated rows each get a slot, and so do rows without a key; an empty table gives an empty result; clashing
+input columns are not read.
 """
 
 from __future__ import annotations
@@ -21,16 +22,6 @@ from pyspark.sql import types as T
 
 from .common import stored
 
-#: Lengths are exact below EXACT; above, they round up to 1/STEPS of their power of two, which bounds the histogram.
-EXACT, STEPS = 2048, 512
-
-
-def grid(length):
-    """The grid length that stands for a length: itself below EXACT, else the next multiple of a power of two."""
-    step = F.when(length < EXACT, F.lit(1.0)).otherwise(F.pow(F.lit(2.0), F.floor(F.log2(length.cast("double"))) - int(math.log2(STEPS))))
-    return (F.ceil(length / step) * step).cast("long")
-
-
 def optimal_boundaries(lengths: list[int], counts: list[int], buckets: int) -> list[int]:
     """Upper boundaries of at most ``buckets`` intervals with the least total padding.
 
@@ -74,19 +65,21 @@ def optimal_boundaries(lengths: list[int], counts: list[int], buckets: int) -> l
 
 
 def sizes(docs: DataFrame, text: str, key: str, count=None) -> DataFrame:
-    """key and n_tokens. count: maps an Arrow array of texts to one of token counts; runs of non-blank characters by default."""
+    """key, n_tokens and row (a number inside the task, which tells repeated rows apart). count: maps an Arrow array of texts to one of token counts; runs of non-blank characters by default."""
     count = count or (lambda texts: pc.count_substring_regex(texts, r"[^\x20\x09-\x0D]+"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = 0
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(key), pc.fill_null(count(batch.column(text)).cast(pa.int64()), 0)], names=[key, "n_tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pc.fill_null(count(batch.column(1)).cast(pa.int64()), 0), pa.array(range(at, at + batch.num_rows), pa.int64())], names=["key", "n_tokens", "row"])
+            at += batch.num_rows
 
-    return docs.select(key, text).mapInArrow(run, T.StructType([docs.schema[key], T.StructField("n_tokens", T.LongType())]))
+    return docs.select(F.col(key).alias("key"), text).mapInArrow(run, T.StructType([T.StructField("key", docs.schema[key].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("row", T.LongType())]))
 
 
 def length_buckets(sized: DataFrame, buckets: int, length: str = "n_tokens") -> tuple[list[int], int]:
     """The optimal boundaries over the whole table, and its row count."""
-    seen = sized.groupBy(grid(F.col(length)).alias("len")).agg(F.count(F.lit(1)).alias("n")).collect()
+    seen = sized.groupBy(F.col(length).alias("len")).agg(F.count(F.lit(1)).alias("n")).collect()
     seen.sort(key=lambda r: r["len"])
     return optimal_boundaries([r["len"] for r in seen], [r["n"] for r in seen], buckets), sum(r["n"] for r in seen)
 
@@ -103,13 +96,13 @@ def pack(docs: DataFrame, buckets: int = 16, token_budget: int = 16384, text: st
     bounds = bounds or [0]
     edges = F.array(*[F.lit(b).cast("long") for b in bounds])
     at = F.size(F.filter(edges, lambda b: b < F.col("n_tokens")))
-    placed = sized.select(key, "n_tokens", at.alias("bucket_id"), F.pmod(F.xxhash64(F.col(key)), F.lit(shares)).alias("share")).withColumn("bucket_len", F.element_at(edges, F.col("bucket_id") + 1))
+    placed = sized.select("key", "n_tokens", "row", at.alias("bucket_id"), F.pmod(F.xxhash64("key", "row"), F.lit(shares)).alias("share")).withColumn("bucket_len", F.element_at(edges, F.col("bucket_id") + 1))
     earlier = Window.partitionBy("bucket_id").orderBy("share").rowsBetween(Window.unboundedPreceding, -1)
     offsets = placed.groupBy("bucket_id", "share").agg(F.count(F.lit(1)).alias("n")).select("bucket_id", "share", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    numbered = placed.withColumn("rank", F.row_number().over(Window.partitionBy("bucket_id", "share").orderBy(key, "n_tokens")))
+    numbered = placed.withColumn("rank", F.row_number().over(Window.partitionBy("bucket_id", "share").orderBy("key", "n_tokens", "row")))
     capacity = F.greatest(F.lit(1), F.floor(F.lit(token_budget) / F.greatest(F.col("bucket_len"), F.lit(1))))
     slot = F.col("before") + F.col("rank") - 1
     return (
         numbered.join(offsets.hint("merge"), ["bucket_id", "share"])
-        .select(key, "n_tokens", "bucket_id", "bucket_len", F.floor(slot / capacity).alias("batch_id"), (slot % capacity).alias("slot"), capacity.alias("batch_size"))
+        .select(F.col("key").alias(key), "n_tokens", "bucket_id", "bucket_len", F.floor(slot / capacity).alias("batch_id"), (slot % capacity).alias("slot"), capacity.alias("batch_size"))
     )

@@ -59,9 +59,9 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = load(spark, sf_dir, "conversations")
-    made = chat.format_chats(chat.render(table), chat.fit(table))
+    made = chat.format_chats(chat.render(table), chat.fit(table.where(~held_out("conv_id"))))
     roles = F.array_join(F.transform("turns", lambda t: t["role"]), ",")
-    return made.select("conv_id", F.lit(0).cast("long").alias("segment"), "n_turns", F.size("turns").cast("long").alias("n_found"), roles.alias("roles"), F.sha2("rendered", 256).alias("rendered_sha256"))
+    return made.select("conv_id", held_out("conv_id").alias("held_out"), F.lit(0).cast("long").alias("segment"), "n_turns", F.size("turns").cast("long").alias("n_found"), roles.alias("roles"), F.sha2("rendered", 256).alias("rendered_sha256"))
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,11 +132,11 @@ DECONTAMINATION_SQL = f"""
 LINES_SQL = f"""
     WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS t, generate_subscripts(string_split(text, chr(10)), 1) AS line FROM documents WHERE text IS NOT NULL),
     w AS (SELECT *, {_words_sql("t", r"[\x20\x09-\x0D]+")} AS w FROM l),
-    f AS (SELECT w, min({{'d': doc_id, 'l': line}}) AS place FROM w WHERE len(w) >= 5 GROUP BY w),
-    v AS (SELECT w, place, i, list_concat(list_slice(w, 1, i - 1), list_slice(w, i + 1, len(w))) AS r FROM (SELECT *, unnest(generate_series(1, len(w))) AS i FROM f)),
+    f AS (SELECT w, min({{'d': doc_id, 'l': line}}) AS place FROM w WHERE len(w) >= 1 GROUP BY w),
+    v AS (SELECT w, place, i, list_concat(list_slice(w, 1, i - 1), list_slice(w, i + 1, len(w))) AS r FROM (SELECT *, unnest(generate_series(1, len(w))) AS i FROM f WHERE len(w) >= 5)),
     near AS (
         SELECT w FROM (SELECT w, place, min(place) OVER (PARTITION BY r, i) AS first FROM v) WHERE place > first
-        UNION SELECT CASE WHEN v.place > f.place THEN v.w ELSE f.w END FROM v JOIN f ON v.r = f.w),
+        UNION SELECT CASE WHEN v.place > f.place THEN v.w ELSE f.w END FROM v JOIN f ON v.r = f.w WHERE len(f.w) >= 5),
     judged AS (SELECT doc_id, line, t, f.w IS NOT NULL AND (near.w IS NOT NULL OR place <> {{'d': doc_id, 'l': line}}) AS gone
         FROM w LEFT JOIN f ON f.w = w.w LEFT JOIN near ON near.w = w.w),
     kept AS (SELECT doc_id, count(*) FILTER (WHERE gone) AS n, string_agg(t, chr(10) ORDER BY line) FILTER (WHERE NOT gone) AS text FROM judged GROUP BY doc_id)

@@ -22,7 +22,7 @@ from .common import SPACES, split_words
 
 WINDOW = 8
 MIN_WORDS = 20
-FEATURES = ["n_words", "mean_word", "symbol_rate", "upper_rate", "mark_rate", "digit_rate", "repeat_rate", "dup_line_rate"]
+FEATURES = ["n_words", "mean_word", "symbol_rate", "upper_rate", "mark_rate", "digit_rate", "repeat_rate", "dup_line_rate", "same_word_rate"]
 
 
 def repeated_places(pairs: str) -> Column:
@@ -49,7 +49,7 @@ def statistics(docs: DataFrame, key: str = "doc_id", text: str = "text", whole_r
     )
     n = F.size("w")
     windows = F.when(n >= WINDOW, F.transform(F.sequence(F.lit(1), n - WINDOW + 1), lambda i: F.xxhash64(F.slice("w", i, WINDOW)))).otherwise(F.array().cast("array<bigint>"))
-    base = base.select("*", n.alias("n_words"), windows.alias("h"), F.size("lines").alias("n_lines"), (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines")).drop("w", "lines")
+    base = base.select("*", n.alias("n_words"), (n - F.size(F.array_distinct("w"))).alias("n_same_words"), windows.alias("h"), F.size("lines").alias("n_lines"), (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines")).drop("w", "lines")
     # only texts with a repeated window go on; each step is a column of its own, so that lambdas read values
     base = base.withColumn("pairs", F.when(F.size(F.array_distinct("h")) < F.size("h"), F.sort_array(F.transform("h", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))).drop("h")
     base = base.withColumn("places", repeated_places("pairs")).drop("pairs")
@@ -61,7 +61,7 @@ def statistics(docs: DataFrame, key: str = "doc_id", text: str = "text", whole_r
     columns = [F.col(c).cast("long").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")] + [
         rate("word_chars", "n_words").alias("mean_word"), rate("n_symbols", "n_words").alias("symbol_rate"), rate("n_upper", "word_chars").alias("upper_rate"),
         rate("n_marks", "n_words").alias("mark_rate"), rate("n_digits", "word_chars").alias("digit_rate"),
-        rate("n_repeat_words", "n_words").alias("repeat_rate"), rate("n_dup_lines", "n_lines").alias("dup_line_rate"),
+        rate("n_repeat_words", "n_words").alias("repeat_rate"), rate("n_dup_lines", "n_lines").alias("dup_line_rate"), rate("n_same_words", "n_words").alias("same_word_rate"),
     ]
     # a generator, since a later filter would be pushed through a projection, and the steps above inlined into one another
     return base.select(*carried, F.inline_outer(F.array(F.struct(*columns))))
@@ -155,7 +155,8 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = 10_000, key: str = "doc
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.min(label).cast("int").alias("y"))
     n = max(1, known.count())
     chosen = known.where(F.pmod(F.xxhash64(F.col(key)), F.lit(1_000_003)) < int(1_000_003 * min(1.0, limit / n)) + 1)
-    sample = docs.select(key, "text").join(F.broadcast(chosen), key)  # bounded by limit
+    # bounded by limit; of several texts that share a key, the smallest stands for it
+    sample = docs.select(key, "text").join(F.broadcast(chosen), key).groupBy(key).agg(F.min("text").alias("text"))
     rows = statistics(sample, key).where(f"n_words >= {MIN_WORDS} AND 100 * n_repeat_words <= 30 * n_words").join(F.broadcast(chosen), key)
     found = [r.asDict() for r in rows.select(key, "y", *FEATURES).collect()]
     return learn(sorted(found, key=lambda r: (hash_order(r[key]), r["y"])))

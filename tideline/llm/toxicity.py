@@ -5,13 +5,15 @@ Fitting, on a bounded sample of labelled rows:
    classes uses a Dirichlet prior in proportion to its overall frequency, and stays in the model only when
    its z-score and its log-odds are high. Other words score a negative drift;
 2. every segment of a document that can't be extended or shortened without loss is found in linear time;
-3. maxima over clean documents give the Gumbel scale: a segment of score S among n words has
-   E = K n exp(-lambda S). A document's evidence is the sum of -ln E over its significant segments (E < max_e),
-   or that of its best one;
+3. the maxima of clean documents give lambda and K by maximum likelihood: the best segment of n clean words stays
+   below S with probability exp(-K n exp(-lambda S)), and documents without a segment count as below the least weight.
+   So a segment of score S among n words has E = K n exp(-lambda S). A document's evidence is the sum of -ln E over its
+   significant segments (E < max_e), or that of its best one;
 4. a logistic curve over that evidence gives the score.
 
 Null, empty and wordless texts have no segment and get the score of the least evidence. Whole texts are
-scanned; equal texts get equal scores; an empty table gives an empty result. With no labelled rows of both
+scanned; equal texts get equal scores; repeated rows give repeated results; an empty table gives an empty result.
+A label's key that several texts share stands for the smallest of them. With no labelled rows of both
 classes the model has no tokens, and every score is the share of toxic labels (0.5 without any).
 Only key and text are read from the documents, so other columns can't clash.
 """
@@ -36,7 +38,7 @@ STEMS = (4, 5, 6)
 
 @dataclass
 class Model:
-    """What scoring needs; its size is bounded by max_terms."""
+    """What scoring needs; its tokens come from the bounded sample."""
 
     weights: dict[str, float] = field(default_factory=dict)
     drift: float = -0.5
@@ -107,15 +109,15 @@ def sigmoid(x: float) -> float:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int, key: str, label: str) -> DataFrame:
-    """At most about ``limit`` labelled rows, chosen by a hash of the key."""
+    """text, y of at most about ``limit`` labelled keys, chosen by a hash of the key."""
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.max(label).cast("int").alias("y"))
     n = max(1, known.count())
     chosen = known.where(F.pmod(F.xxhash64(F.col(key)), F.lit(1_000_003)) < int(1_000_003 * min(1.0, limit / n)) + 1)
-    return docs.select(key, "text").join(F.broadcast(chosen), key)  # bounded by limit
+    return docs.select(key, "text").join(F.broadcast(chosen), key).groupBy(key, "y").agg(F.min("text").alias("text")).select("text", "y")  # bounded by limit
 
 
-def fit(docs: DataFrame, labels: DataFrame, limit: int = 20_000, max_terms: int = 20_000, min_z: float = 4.0, min_odds: float = 2.0, prior: float = 0.1, key: str = "doc_id", label: str = "toxic") -> Model:
-    """Learn a model. limit bounds the labelled rows, max_terms the tokens kept (those of the highest z)."""
+def fit(docs: DataFrame, labels: DataFrame, limit: int = 20_000, min_z: float = 4.0, min_odds: float = 2.0, prior: float = 0.1, key: str = "doc_id", label: str = "toxic") -> Model:
+    """Learn a model; limit bounds the labelled rows."""
     from .common import forget, stored
 
     sample = stored(labelled_sample(docs, labels, limit, key, label).dropDuplicates(["text", "y"]), "toxic-sample")
@@ -140,56 +142,71 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = 20_000, max_terms: int
         delta = odds(F.col("y1"), n1) - odds(F.col("y0"), n0)
         z = delta / F.sqrt(1 / (F.col("y1") + a) + 1 / (F.col("y0") + a))
         kept = counts.where("y1 >= 3").select("term", delta.alias("d"), z.alias("z")).where((F.col("z") >= min_z) & (F.col("d") >= min_odds))
-        model.weights = {r["term"]: float(r["d"]) for r in kept.orderBy(F.desc("z"), "term").limit(max_terms).collect()}
+        model.weights = {r["term"]: float(r["d"]) for r in kept.collect()}
     if model.weights:
         model.drift = -0.25 * float(np.median(list(model.weights.values())))
-        best = sample.mapInArrow(lambda batches: _maxima(batches, model), "y int, n long, top double, rest array<double>").collect()
-        _calibrate(model, best)
+        clean = sample.where("y = 0").mapInArrow(lambda batches: _maxima(batches, model), "n long, top double").where("n > 0").collect()
+        model.rate, model.log_k = extreme_values([r["n"] for r in clean], [r["top"] for r in clean], min(model.weights.values()), max(model.weights.values()))
+        judged = sample.mapInArrow(lambda batches: _evidence(batches, model), "y int, value double").collect()
+        model.slope, model.bias = logistic([r["value"] for r in judged], [r["y"] for r in judged])
     forget(counts)
     forget(sample)
     return model
 
 
 def _maxima(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """Words and best segment of each text."""
     cache: dict[str, float] = {}
     for batch in batches:
-        n, top, rest = [], [], []
+        rows = []
         for text in batch.column("text").to_pylist():
             words = words_of(text)
-            scores = [s for _, _, s in segments(word_scores(words, model, cache), model.drift)]
-            n.append(len(words)), top.append(max(scores, default=0.0)), rest.append(sorted(scores)[-64:])
-        yield pa.RecordBatch.from_arrays([batch.column("y").cast(pa.int32()), pa.array(n, pa.int64()), pa.array(top, pa.float64()), pa.array(rest, pa.list_(pa.float64()))], names=["y", "n", "top", "rest"])
-
-
-def _calibrate(model: Model, best: list) -> None:
-    """lambda from the word scores' moment equation over clean documents, K from their share of maxima; then the logistic curve."""
-    clean = [r for r in best if r["y"] == 0 and r["n"]]
-    words, hits = sum(r["n"] for r in clean), Counter()
-    for r in clean:
-        hits.update(round(s, 3) for s in r["rest"])
-    freq = {s: c / max(words, 1) for s, c in hits.items()}
-    least = 0.5 / max(words, 1)
-    freq[max(model.weights.values())] = freq.get(max(model.weights.values()), 0.0) + least
+            rows.append((len(words), max((s for _, _, s in segments(word_scores(words, model, cache), model.drift)), default=0.0)))
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.float64())], names=["n", "top"])
+
+
+def _evidence(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    cache: dict[str, float] = {}
+    for batch in batches:
+        words = [words_of(text) for text in batch.column("text").to_pylist()]
+        values = [evidence(segments(word_scores(w, model, cache), model.drift), len(w), model)[0] for w in words]
+        yield pa.RecordBatch.from_arrays([batch.column("y").cast(pa.int32()), pa.array(values, pa.float64())], names=["y", "value"])
+
+
+def extreme_values(n: list[int], top: list[float], least: float, most: float) -> tuple[float, float]:
+    """(lambda, ln K) of the Gumbel law of maxima ``top`` among ``n`` words, by maximum likelihood. A top of 0 is known only to lie below ``least``.
+
+    For a given lambda the best K is the number of maxima seen over the sum of n exp(-lambda s), which leaves a concave
+    function of lambda alone. One maximum of ``most`` among the mean number of words is added, so that text without any keeps a finite scale.
+    """
+    size = np.array([*n, max(1.0, float(np.mean(n)) if n else 1.0)])
+    best = np.array([*top, most])
+    seen = best > 0
+    at, m, total = np.where(seen, best, least), int(seen.sum()), float(best[seen].sum())
+
+    def slope(lam: float) -> float:
+        weight = size * np.exp(-lam * (at - at.min()))
+        return m / lam + m * float(np.dot(weight, at) / weight.sum()) - total
+
     lo, hi = 1e-6, 50.0
-    moment = lambda lam: sum(p * math.exp(min(lam * s, 700.0)) for s, p in freq.items()) + (1 - sum(freq.values())) * math.exp(lam * model.drift)
     for _ in range(80):
         mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if moment(mid) < 1 else (lo, mid)
-    model.rate = lo
-    # E = K n exp(-lambda s): K is the mean number of segments a word, each weighted by exp(lambda s), over clean text
-    model.log_k = math.log(max(sum(p * math.exp(min(model.rate * s, 700.0)) for s, p in freq.items()), 1e-9))
-    x = np.array([evidence([(0, 0, s) for s in r["rest"]], r["n"], model)[0] for r in best])
-    y = np.array([r["y"] for r in best], dtype=float)
-    squash = np.tanh(x / 20)
+        lo, hi = (mid, hi) if slope(mid) > 0 else (lo, mid)
+    return lo, math.log(m) - float(np.log(np.dot(size, np.exp(-lo * (at - at.min()))))) + lo * float(at.min())
+
+
+def logistic(x: list[float], y: list[int]) -> tuple[float, float]:
+    """Slope and bias over tanh(x / 20), by Newton steps with a light ridge, which keeps separable classes finite."""
+    squash, y = np.tanh(np.array(x) / 20), np.array(y, dtype=float)
     slope, bias = 1.0, 0.0
-    for _ in range(60):  # Newton steps with a light ridge, which keeps separable classes finite
+    for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(slope * squash + bias, -40, 40)))
         w = np.maximum(p * (1 - p), 1e-9)
         g = np.array([np.dot(p - y, squash) + 1e-3 * slope, np.sum(p - y) + 1e-3 * bias])
         h = np.array([[np.dot(w, squash**2) + 1e-3, np.dot(w, squash)], [np.dot(w, squash), w.sum() + 1e-3]])
         step = np.linalg.solve(h, g)
         slope, bias = slope - float(np.clip(step[0], -5, 5)), bias - float(np.clip(step[1], -5, 5))
-    model.slope, model.bias = slope, bias
+    return slope, bias
 
 
 def score_text(text: str | None, model: Model, cache: dict[str, float]) -> tuple[float, list[tuple[int, int, float]], int]:

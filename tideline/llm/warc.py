@@ -57,15 +57,20 @@ def record(page_id, url: str | None, payload: bytes, refers_to, date: str) -> by
 
 
 def inflate(stream) -> Iterator[bytes]:
-    """The plain bytes of a gzip stream, a block at a time; members that follow one another are one stream."""
-    unzip = zlib.decompressobj(31)
+    """The plain bytes of a gzip stream, a block at a time; members that follow one another are one stream. ValueError when the last one isn't whole."""
+    unzip, inside = zlib.decompressobj(31), False
     while data := stream.read(BLOCK):
         while data:
+            inside = True
             if out := unzip.decompress(data, 4 * BLOCK):
                 yield out
             data = unzip.unconsumed_tail
             if unzip.eof:
-                data, unzip = unzip.unused_data, zlib.decompressobj(31)
+                data, unzip, inside = unzip.unused_data, zlib.decompressobj(31), False
+    if inside:
+        yield unzip.flush()
+        if not unzip.eof:
+            raise ValueError("the archive ends inside a gzip member")
 
 
 def parse_head(head: bytes) -> dict[str, str]:
@@ -97,6 +102,8 @@ def records(blocks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
             raise ValueError("the archive ends inside a record")
         yield fields, bytes(held[:size])
         del held[:size]
+    if held:
+        raise ValueError(f"{len(held)} bytes after the last record")
 
 
 def page_of(value: str | None) -> str | None:
