@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import decontaminate, linededup, packing, rules, simhash
-from tideline.llm.common import load, stored
+from tideline.llm.common import concluded, forget, load
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +42,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; what each returns is stored before the next reads it."""
-    docs = load(spark, sf_dir, "documents")
+    """All stages over documents; what each returns is stored before the next reads it, and nothing else of it is left."""
+    docs = before = load(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = concluded(lambda: stage(spark, before, sf_dir), name.replace(" ", "-"))  # noqa: B023
+        if name != STAGES[0][0]:
+            forget(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
