@@ -315,12 +315,9 @@ def set_prints(docs: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
     return docs.select(F.col(key).alias("key"), text).mapInArrow(run, schema)
 
 
-def sparse_links(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]], star: Callable[[int], np.ndarray], alike: Callable[[int, int], bool] | None = None) -> tuple[list[tuple[int, int]], bool]:
-    """All pairs and False, or, beyond SPARSE for each of the n nodes, pairs that span their components and True.
-
-    star: the later nodes that pair with one. With ``alike``, only pairs that it holds for, and those that span.
-    """
-    label, out, kept, held, dense = np.arange(n), [], [], 0, alike is not None
+def sparse_links(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]], star: Callable[[int], np.ndarray]) -> tuple[list[tuple[int, int]], bool]:
+    """All pairs and False, or, beyond SPARSE for each of the n nodes, pairs that span their components and True. star: the later nodes that pair with one."""
+    label, out, kept, held, dense = np.arange(n), [], [], 0, False
 
     def spanning(i, j):
         while len(i):
@@ -328,7 +325,7 @@ def sparse_links(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]], star: C
             i, j = i[apart], j[apart]
             for p, q in zip(i[:1024].tolist(), j[:1024].tolist()):
                 a, b = label[p], label[q]
-                if a != b and (alike is None or alike(p, q)):
+                if a != b:
                     label[label == max(a, b)] = min(a, b)
                     out.append((p, q))
             i, j = i[1024:], j[1024:]
@@ -339,8 +336,6 @@ def sparse_links(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]], star: C
             found = star(c)
             spanning(np.full(len(found), c), found)
 
-    if dense:
-        stars()
     for i, j in pairs:
         if dense:
             if not label.any():
@@ -358,6 +353,29 @@ def sparse_links(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]], star: C
     return (out, True) if dense else ([p for i, j in kept for p in zip(i.tolist(), j.tolist())], False)
 
 
+def alike_links(sets: list[np.ndarray], star: Callable[[int], np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Pairs that span the components of what ``star`` pairs and is similar enough. A node is compared at once with all that aren't linked to it yet."""
+    sizes = np.array([len(x) for x in sets])
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    _, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    label, out, held = np.arange(len(sets)), [], np.zeros(int(ids.max()) + 1 if len(ids) else 1, dtype=bool)
+    for c in range(len(sets)):
+        later = star(c)
+        later = later[label[later] != label[c]]
+        if not len(later):
+            continue
+        held[ids[ends[c] : ends[c + 1]]] = True
+        base = ends[later[0]]
+        sums = np.concatenate([[0], np.cumsum(held[ids[base : ends[later[-1] + 1]]])])
+        held[ids[ends[c] : ends[c + 1]]] = False
+        common = sums[ends[later + 1] - base] - sums[ends[later] - base]
+        later = later[common >= similarity * (sizes[c] + sizes[later] - common) - 1e-9]
+        joined, first = np.unique(label[later], return_index=True)
+        out += [(c, int(x)) for x in later[first]]
+        label[np.isin(label, joined) | (label == label[c])] = min(label[c], *joined.tolist()) if len(joined) else label[c]
+    return out
+
+
 def proposed(together: DataFrame, budget: int, similarity: float, judged: bool = False) -> DataFrame:
     """cell, lo, hi, u, v, dense: pairs of nodes to judge, for each subtrie; pairs judged already, where the rows have the shingles' hashes."""
 
@@ -388,10 +406,6 @@ def proposed(together: DataFrame, budget: int, similarity: float, judged: bool =
                 root = (0, b - a, 0, b - a) if m == b else (0, m - a, m - a, b - a)
                 sets = [hashes[int(r)].values.to_numpy() for r in order] if judged else []
 
-                def alike(i, j):
-                    common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))  # noqa: B023
-                    return common >= similarity * (len(sets[i]) + len(sets[j]) - common) - 1e-9  # noqa: B023
-
                 def pairs():
                     for i, j in traverse(own, np.array([root]), budget, leaf=LEAF):  # noqa: B023
                         near = np.minimum(size[i], size[j]) >= similarity * np.maximum(size[i], size[j]) - 1e-9  # noqa: B023
@@ -403,7 +417,7 @@ def proposed(together: DataFrame, budget: int, similarity: float, judged: bool =
                     fit = (np.bitwise_count(own[c] ^ own[later]) <= budget) & (np.minimum(size[c], size[later]) >= similarity * np.maximum(size[c], size[later]) - 1e-9)  # noqa: B023
                     return later[fit]
 
-                found, dense = sparse_links(b - a, pairs(), star, alike if judged else None)
+                found, dense = (alike_links(sets, star, similarity), True) if judged else sparse_links(b - a, pairs(), star)
                 if found:
                     u, v = (node[order[np.array([p[c] for p in found], dtype=np.int64)]] for c in (0, 1))
                     same = lambda value, kind: np.full(len(u), value, dtype=kind)  # noqa: B023, E731
