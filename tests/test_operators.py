@@ -186,3 +186,20 @@ def test_checkpoint(spark, tmp_path):
         checkpoint.load(path, "t")
     rows = spark.createDataFrame([(json.dumps(d),) for d in (doc, {**doc, "version": 2}, {"version": 1})] + [("{",)], "t string").select(checkpoint.decode(F.col("t"), "s").alias("d")).collect()
     assert [r["d"]["error"] for r in rows] == [None, "unsupported version", "no source_id", "not a checkpoint"] and int(rows[0]["d"]["checkpoint"]["ack_cp"]["offset"]) == 456
+
+
+def test_dialect(spark):
+    """Expressions as a linear-time engine reads them, against one."""
+    import duckdb
+
+    keys = ["user:15", "user:15\n", "a\rb", "a\u2028b", "a\nb", "dev:ABC1", "dev:abc", "x a.b y", "xa+b", "t\x0bu", "t u", "ÉCOLE", "école", "a]b", "a{b", "k{2}", "1&2", "[x]", "n"]
+    patterns = [r"user:[0-9]*5$", "a.b", r"dev:(?i)abc.*", r"\Qa.b\E", r"\Qa+b", r"t\su", r"t\Su", r"t[\sx]u", r"t[^\s]u", "(?i)école$", "a[]]b", "a{b", "k[{]2}", r"1[&]2", "1[0&&9]2", "[[]x]", "(?m)^a$", "(?m:^b$)|user:15$", "(?U)a.*b", "(?s)a.b", "(?s:a).b", "[[:alpha:]]{4,}:", "[^[:ascii:]]", r"\pL{5}", "(?P<n>dev):", r"(a|n)\z", "^$"]
+    frame = spark.createDataFrame([(k,) for k in keys], "key string")
+    got = frame.select("key", *[filters.parse_key(p).column(F.col("key")).alias(f"m{i}") for i, p in enumerate(patterns)]).collect()
+    con = duckdb.connect()
+    for i, p in enumerate(patterns):
+        want = {k: con.execute("SELECT regexp_matches(?, ?)", [k, p]).fetchone()[0] for k in keys}
+        assert {r["key"]: r[f"m{i}"] for r in got} == want, p
+    for bad in ("(?=a)b", r"(a)\1", "a(b", "(?x)a", "a++"):
+        with pytest.raises(ValueError):
+            filters.parse_key(bad)

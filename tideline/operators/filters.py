@@ -20,26 +20,91 @@ from ..functions.commands import ascii_lower
 SPECIAL = set(".+?^$()[]{}|\\*")
 #: What linear-time expression engines reject but the JVM's accepts: lookaround, atomic groups, back references, possessive quantifiers.
 BACKTRACKING = re.compile(r"\(\?(?:[=!>]|<[=!])|\\[1-9]|\\k<|[*+?}]\+")
-
-#: A brace that begins no repetition is a plain character in the filter language, but not in the JVM's.
-PLAIN_BRACE = re.compile(r"(?<!\\)(?<!\\[pPx])\{(?!\d+(?:,\d*)?\})")
+#: A brace that begins a repetition; any other is a plain character in the filter language, but not in the JVM's.
+REPETITION = re.compile(r"\{\d+(?:,\d*)?\}")
 NAMED_CLASS = re.compile(r"\[:(\^?)(\w+):\]")
+FLAGS = re.compile(r"\(\?([imsU]*)(?:-([imsU]+))?([:)])")
+BLANKS = r"\t\n\f\r "
 _TO_JVM = {"word": r"\w", "ascii": r"\p{ASCII}", "xdigit": r"\p{XDigit}"}
 
 
-def jvm_pattern(text: str) -> str:
-    """The same expression as the JVM writes it: plain braces, [:classes:] and named groups."""
-    named = lambda m: (_TO_JVM.get(m[2]) or rf"\p{{{m[2].capitalize()}}}").replace("\\p", "\\P" if m[1] else "\\p")
-    return NAMED_CLASS.sub(named, PLAIN_BRACE.sub(r"\\{", text)).replace("(?P<", "(?<")
+def translated(text: str) -> tuple[str, str]:
+    """The expression as the JVM writes it, and as Python does, whose parser tests it.
+
+    In the filter language a line ends at \\n alone, $ is the end of the text unless (?m) is on, \\s has no vertical tab, letter case
+    folds beyond ASCII, and (?U) only changes which of several matches is found.
+    """
+    jvm, plain, at, inside = ["(?d)"], [], 0, False
+    lines = [False]  # whether (?m) is on, in each open group
+
+    def put(n: int, j: str, p: str | None = None):
+        nonlocal at
+        jvm.append(j), plain.append(j if p is None else p)
+        at += n
+
+    while at < len(text):
+        c, two = text[at], text[at : at + 2]
+        if two == r"\Q":
+            end = text.find(r"\E", at)
+            literal = text[at + 2 : end if end >= 0 else len(text)]
+            put((end + 2 if end >= 0 else len(text)) - at, re.escape(literal))
+        elif two in (r"\s", r"\S"):
+            inner = f"[{'^' if two == r'\S' else ''}{BLANKS}]"
+            put(2, inner, "w" if inside else None)
+        elif two == r"\z":
+            put(2, r"\z", r"\Z")
+        elif m := re.compile(r"\\[pP](?:\{\^?\w+\}|\w)").match(text, at):
+            put(m.end() - at, re.sub(r"\\p\{\^", r"\\P{", m[0]), "w")
+        elif c == "\\":
+            put(2, two)
+        elif inside:
+            if m := NAMED_CLASS.match(text, at):
+                name = _TO_JVM.get(m[2]) or rf"\p{{{m[2].capitalize()}}}"
+                put(m.end() - at, (f"[^{name}]" if m[1] else name), "w")
+            elif c == "]" and at > opened:
+                inside = False
+                put(1, c)
+            else:
+                put(1, "\\" + c if c in "[&]" else c)
+        elif c == "[":
+            inside, start = True, 2 if text[at + 1 : at + 2] == "^" else 1
+            opened = at + start  # a ] just here is a plain one
+            put(start, text[at : at + start])
+        elif m := FLAGS.match(text, at):
+            on = "m" in m[1] or (lines[-1] and "m" not in (m[2] or ""))
+            if m[3] == ":":
+                lines.append(on)
+            else:
+                lines[-1] = on
+            own, off = m[1].replace("U", "").replace("i", "iu"), (m[2] or "").replace("U", "").replace("i", "iu")
+            put(m.end() - at, f"(?{own}{'-' + off if off else ''}{m[3]}" if own or off or m[3] == ":" else "", "(?:" if m[3] == ":" else "")
+        elif text.startswith("(?P<", at):
+            lines.append(lines[-1])
+            put(4, "(?<", "(?P<")
+        elif c == "(":
+            lines.append(lines[-1])
+            put(1, c)
+        elif c == ")":
+            lines[:] = lines[:-1] or [False]
+            put(1, c)
+        elif c == "$":
+            put(1, "$" if lines[-1] else r"\z", "$")
+        elif c == "{" and not REPETITION.match(text, at):
+            put(1, r"\{")
+        else:
+            put(1, c)
+    return "".join(jvm), "".join(plain)
 
 
 def check_pattern(text: str) -> None:
     """ValueError for what a linear-time engine can't run, or can't parse."""
-    if BACKTRACKING.search(text):
+    bare = re.sub(r"\\Q.*?(?:\\E|$)", "w", text, flags=re.DOTALL)
+    if BACKTRACKING.search(bare):
         raise ValueError("needs backtracking")
-    plain = re.sub(r"\\[pP](?:\{\^?\w+\}|\w)", "w", NAMED_CLASS.sub("w", PLAIN_BRACE.sub(r"\\{", text))).replace(r"\z", r"\Z")
+    if re.search(r"(?<!\\)\(\?(?![imsU:-]|P<)", bare):
+        raise ValueError("unknown flag")
     try:
-        re.compile(plain)
+        re.compile(translated(text)[1])
     except re.error as e:
         raise ValueError(str(e)) from e
 
@@ -51,7 +116,7 @@ class KeyMatch:
 
     def column(self, key: Column) -> Column:
         if self.kind == "regex":
-            return key.cast("string").rlike(jvm_pattern(self.text))
+            return key.cast("string").rlike(translated(self.text)[0])
         return key == F.lit(self.text) if self.kind == "exact" else key.startswith(self.text)
 
 

@@ -72,5 +72,6 @@ def snapshot(string: DataFrame, list_: DataFrame, hash_: DataFrame, set_: DataFr
 
 def handoff(snapshot_rows: DataFrame, log: DataFrame, end_filenum: int, end_offset: int) -> DataFrame:
     """The snapshot, then the log from its end position on; columns of both by name."""
-    after = F.struct(F.col("filenum").cast("long"), F.col("offset").cast("long")) >= F.struct(F.lit(end_filenum).cast("long"), F.lit(end_offset).cast("long"))
+    place = lambda filenum, offset: F.struct(filenum.cast("long").alias("filenum"), offset.cast("decimal(20,0)").alias("offset"))  # noqa: E731  unsigned, 64 bits
+    after = place(F.col("filenum"), F.col("offset")) >= place(F.lit(end_filenum), F.lit(str(end_offset)))
     return snapshot_rows.unionByName(log.where(after), allowMissingColumns=True)

@@ -450,6 +450,48 @@ def checkpoint_decode(spark, sf_dir):
     return rows.select("c_custkey", "d.error", F.col("d.checkpoint.ack_cp.seq").cast("long").alias("ack_seq"))
 
 
+_DIALECT = [r"user:[0-9]*5$", r"dev|(?i)USER:1[0-4]", r"\Quser:2\E\s", "7[^0-9]?$"]
+_ODD_KEY = "'user:' || c_custkey || CASE c_custkey % 4 WHEN 0 THEN '' WHEN 1 THEN chr(10) WHEN 2 THEN ' ' ELSE chr(8232) END"
+
+
+@query(f"SELECT c_custkey, {', '.join(f'regexp_matches({_ODD_KEY}, {chr(39)}{p}{chr(39)}) AS m{i}' for i, p in enumerate(_DIALECT))} FROM customer")
+def filter_dialect(spark, sf_dir):
+    """Key expressions on keys that end in a line feed, a blank or a line separator."""
+    k = F.col("c_custkey")
+    end = F.when(k % 4 == 0, "").when(k % 4 == 1, "\n").when(k % 4 == 2, " ").otherwise("\u2028")
+    key = F.concat(F.lit("user:"), k.cast("string"), end)
+    return load(spark, sf_dir, "customer").select(k, *[filters.parse_key(p).column(key).alias(f"m{i}") for i, p in enumerate(_DIALECT)])
+
+
+@query("""SELECT c_custkey AS source, '{"version":1,"source_id":"s' || c_custkey || '","epoch":7,"ack_cp":{"seq":' || c_custkey || ',"filenum":2,"offset":' || c_custkey * 100
+    || '},"durable_cp":{"seq":' || (c_custkey + 5) || ',"filenum":2,"offset":' || (c_custkey * 100 + 500) || '}}' AS document FROM customer""")
+def checkpoint_export(spark, sf_dir):
+    """The progress document of every source."""
+    k = F.col("c_custkey").cast("long")
+    at = lambda p, more: [(k + more).alias(f"{p}_seq"), F.lit(2).alias(f"{p}_filenum"), (k * 100 + more * 100).alias(f"{p}_offset")]
+    rows = load(spark, sf_dir, "customer").select(F.concat(F.lit("s"), k.cast("string")).alias("source_id"), F.lit(7).alias("epoch"), *at("ack", 0), *at("durable", 5))
+    return checkpoint.documents(rows).select(F.substring("source_id", 2, 20).cast("long").alias("source"), "document")
+
+
+@query(_log_sql("seq, CASE seq % 4 WHEN 0 THEN 'too short' WHEN 1 THEN 'unexpected type' WHEN 2 THEN 'content length mismatch' END AS error, CASE WHEN seq % 4 = 3 THEN array_to_string(argv, '|') END AS args"))
+def quarantine(spark, sf_dir):
+    """Three of four records are damaged: cut, of another type, or with a byte too many; each is set aside with its reason."""
+    raw = header.encode(F.col("exec_time"), F.col("term_id"), F.col("logic_id"), F.col("filenum"), F.col("offset"), F.col("raw_resp").cast("binary"))
+    rows = _log(spark, sf_dir).select("seq", raw.alias("raw"))
+    k = F.col("seq") % 4
+    bad = F.when(k == 0, F.substring("raw", 1, 20)).when(k == 1, F.concat(F.lit(b"\x09\x00"), F.substring("raw", 3, 1 << 20))).when(k == 2, F.concat("raw", F.lit(b"x"))).otherwise(F.col("raw"))
+    made = feed.decoded(rows.withColumn("raw", bad), "quarantine", NOW)
+    return made.select("seq", "error", F.when(F.col("error").isNull(), F.array_join("argv", "|")).alias("args"))
+
+
+@query(_log_sql("DISTINCT 'db0:' || data_type || ':' || key AS event_key, count(*) OVER (PARTITION BY data_type, key) AS n"))
+def without_repeats(spark, sf_dir):
+    """Every record twice, and each event once."""
+    log = _log(spark, sf_dir)
+    rows = events.binlog_events(log.unionByName(log), OPTIONS)
+    return rows.dropDuplicates(["seq"]).groupBy("event.event_key").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---- logs and streams -----------------------------------------------------------------------------------------
 
 
@@ -465,10 +507,7 @@ def _scratch(spark: SparkSession, name: str) -> str:
 @query(_log_sql("""1 AS type, CAST(7 AS BIGINT) AS epoch, seq, filenum, "offset", raw_resp AS payload"""))
 def wal_roundtrip(spark, sf_dir):
     """Write segments, read them back with the data source, checksums verified."""
-    import os
-
-    folder = _scratch(spark, "wal").removeprefix("file://")
-    os.makedirs(folder)
+    folder = _scratch(spark, "wal")
     rows = _log(spark, sf_dir).select(F.lit(7).alias("epoch"), "seq", "filenum", "offset", F.col("raw_resp").cast("binary").alias("payload"))
     wal.write(wal.range_by_position(rows, 4), folder, segment_bytes=1 << 20).count()
     spark.dataSource.register(wal.WalDataSource)
@@ -485,10 +524,7 @@ def crc32c_vector(spark, sf_dir):
 @query(_log_sql("""seq, filenum, "offset", raw_resp AS payload""", """filenum > 1 OR (filenum = 1 AND "offset" > 20000)"""))
 def wal_stream(spark, sf_dir):
     """Segments read as a stream from a position on."""
-    import os
-
-    folder = _scratch(spark, "wal-stream").removeprefix("file://")
-    os.makedirs(f"{folder}/log")
+    folder = _scratch(spark, "wal-stream")
     rows = _log(spark, sf_dir).select(F.lit(7).alias("epoch"), "seq", "filenum", "offset", F.col("raw_resp").cast("binary").alias("payload"))
     wal.write(wal.range_by_position(rows, 4), f"{folder}/log", segment_bytes=1 << 18).count()
     spark.dataSource.register(wal.WalDataSource)

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import json
-import os
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import files
+
 VERSION = 1
 _POSITION = "struct<seq:decimal(20,0),filenum:bigint,offset:decimal(20,0),logic_id:decimal(20,0),server_id:bigint,term_id:bigint,ts_ms:decimal(20,0),wal_segment:bigint,wal_offset:decimal(20,0)>"
 SCHEMA = (
@@ -36,16 +36,12 @@ def check(doc: dict, source_id: str | None = None) -> dict:
 
 def load(path: str, source_id: str | None = None) -> dict | None:
     """The stored document, or None when there is none yet."""
-    file = Path(path)
-    return check(json.loads(file.read_text()), source_id) if file.exists() else None
+    return check(json.loads(files.read(path)), source_id) if files.exists(path) else None
 
 
 def save(path: str, doc: dict) -> None:
     """Replace the document as a whole; readers see the old one or the new one."""
-    file = Path(path)
-    beside = file.with_name(file.name + ".tmp")
-    beside.write_text(json.dumps(check(doc), separators=(",", ":")))
-    os.replace(beside, file)
+    files.replace(path, json.dumps(check(doc), separators=(",", ":")).encode())
 
 
 def documents(progress: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ fails runs again as a whole. Rows that can't be decoded stop the query, or are s
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,25 +79,33 @@ def kafka_options(brokers: str, idempotent: bool = True, max_bytes: int = 1_000_
     return {"kafka.bootstrap.servers": brokers, "kafka.acks": "all", "kafka.enable.idempotence": str(idempotent).lower(), "kafka.max.in.flight.requests.per.connection": "1", "kafka.max.request.size": str(max_bytes)}
 
 
+def with_runs(starts: np.ndarray, ends: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted runs (first, last) of whole numbers, and more numbers, as sorted runs that neither meet nor overlap."""
+    first, last = np.concatenate([starts, numbers]), np.concatenate([ends, numbers])
+    order = np.argsort(first, kind="stable")
+    first, reach = first[order], np.maximum.accumulate(last[order])
+    new = np.flatnonzero(np.concatenate([[True], first[1:] > reach[:-1] + 1])) if len(first) else np.empty(0, dtype=np.int64)
+    return first[new], reach[np.concatenate([new[1:], [len(first)]]).astype(np.int64)[: len(new)] - 1]
+
+
 class AckTracker(StatefulProcessor):
-    """Per (source, epoch): the next number expected, and those that arrived before their turn."""
+    """Per (source, epoch): the next number expected, and those that arrived before their turn, as runs: a gap costs one, however many wait behind it."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.next = handle.getValueState("next", "seq long")
-        self.pending = handle.getMapState("pending", "seq long", "at long")
+        self.waiting = handle.getValueState("waiting", "starts array<bigint>, ends array<bigint>")
 
     def handleInputRows(self, key, rows, timers):
         due = self.next.get()[0] if self.next.exists() else 1
+        starts, ends = (np.array(x, dtype=np.int64) for x in (self.waiting.get() if self.waiting.exists() else ([], [])))
         for frame in rows:
-            for seq in frame["seq"].tolist():
-                if seq >= due:
-                    self.pending.updateValue((seq,), (seq,))
-        while self.pending.containsKey((due,)):
-            self.pending.removeKey((due,))
-            due += 1
+            seq = np.unique(frame["seq"].to_numpy(dtype=np.int64))
+            starts, ends = with_runs(starts, ends, seq[seq >= due])
+        if len(starts) and starts[0] == due:
+            due, starts, ends = int(ends[0]) + 1, starts[1:], ends[1:]
         self.next.update((due,))
-        waiting = sum(1 for _ in self.pending.keys())
-        yield pd.DataFrame({"source_id": [key[0]], "epoch": [key[1]], "ack_seq": [due - 1], "pending": [waiting]})
+        self.waiting.update((starts.tolist(), ends.tolist()))
+        yield pd.DataFrame({"source_id": [key[0]], "epoch": [key[1]], "ack_seq": [due - 1], "pending": [int((ends - starts + 1).sum())]})
 
     def close(self) -> None:
         pass
