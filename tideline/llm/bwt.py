@@ -40,9 +40,9 @@ GRAM = 24
 #: Offsets of a minimizer in a string that share a core; records before a task hands on what it has.
 OFFSETS, FLUSH = 4, 300_000
 #: Bytes of a shard, and bytes of transforms that are merged at a time (whole ranges).
-SHARD, MERGE = 1 << 21, 1 << 20
+SHARD, MERGE = 1 << 19, 1 << 19
 #: Source bytes for each range of minimizers.
-RANGE_BYTES = 1 << 23
+RANGE_BYTES = 1 << 22
 #: Longest piece of a text that is hashed at once; pieces overlap by width - 1.
 CHUNK = 1 << 20
 #: Records of a minimizer in one task, and in all, beyond which its snippets are cut finer before they meet.
@@ -150,7 +150,11 @@ def ordered(key: np.ndarray, bound: int) -> np.ndarray:
     bits = max(1, (len(key) - 1).bit_length())
     if bound.bit_length() + bits > 63:
         return np.argsort(key, kind="stable")
-    return np.sort(key << bits | np.arange(len(key))) & ((1 << bits) - 1)
+    packed = key << bits
+    packed |= np.arange(len(key))
+    packed.sort()
+    packed &= (1 << bits) - 1
+    return packed
 
 
 def refined(order: np.ndarray, rank: np.ndarray, follow) -> np.ndarray:
@@ -160,23 +164,26 @@ def refined(order: np.ndarray, rank: np.ndarray, follow) -> np.ndarray:
     """
     begins = rank[order]
     ties = np.zeros(len(order), dtype=bool)
-    ties[1:] = begins[1:] == begins[:-1]
+    np.equal(begins[1:], begins[:-1], out=ties[1:])
     ties[:-1] |= ties[1:]
     at = np.flatnonzero(ties)
-    tied, begins = order[at], begins[at]
-    then = rank[follow(tied)]
-    by = ordered(begins * len(order) + then, len(order) ** 2)
+    tied = order[at]
+    key = begins[at].astype(np.int64) * len(order)
+    key += rank[follow(tied)]
+    by = ordered(key, len(order) ** 2)
     order[at] = tied = tied[by]
     out = rank.copy()
-    out[tied] = run_starts([begins, then[by]], at)
+    out[tied] = run_starts([key[by]], at)
     return out
 
 
 def run_starts(keys: list[np.ndarray], at: np.ndarray) -> np.ndarray:
     """For suffixes in order at places ``at``: the place where the run of equal keys begins."""
     new = np.ones(len(at), dtype=bool)
-    new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
-    return np.maximum.accumulate(np.where(new, at, 0))
+    np.not_equal(keys[0][1:], keys[0][:-1], out=new[1:])
+    for k in keys[1:]:
+        new[1:] |= k[1:] != k[:-1]
+    return np.maximum.accumulate(np.where(new, at, 0).astype(np.int32))
 
 
 #: Symbols that the first round takes at once.
@@ -187,9 +194,9 @@ def first_ranks(key: np.ndarray, ended: np.ndarray) -> tuple[np.ndarray, np.ndar
     """Order and ranks by the first PACKED symbols. Those that reach their terminator there (``ended``) differ from all others."""
     order = ordered(key, 1 << 9 * PACKED)
     alone = np.where(ended[order], np.arange(len(order)), -1)
-    rank = np.empty(len(order), dtype=np.int64)
+    rank = np.empty(len(order), dtype=np.int32)
     rank[order] = run_starts([key[order], alone], np.arange(len(order)))
-    return order, rank
+    return order.astype(np.int32), rank
 
 
 def suffix_order(text: np.ndarray) -> np.ndarray:
@@ -203,7 +210,7 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
         key = key << 9 | np.where(ended, 0, symbol[j : n + j])
     order, rank = first_ranks(key, ended)
     h = PACKED
-    while (rank[order] != np.arange(n)).any():
+    while (rank[order[1:]] == rank[order[:-1]]).any():
         rank = refined(order, rank, lambda x: x + h)  # noqa: B023  one that ties doesn't end within h
         h *= 2
     return order
@@ -227,7 +234,7 @@ def shard_transform(pieces: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, n
 
 def extensions(transforms: list[np.ndarray]) -> np.ndarray:
     """For each suffix (numbered shard after shard) the number of the suffix one symbol longer; -1 where its piece begins."""
-    before, base = np.empty(sum(map(len, transforms)), dtype=np.int64), 0
+    before, base = np.empty(sum(map(len, transforms)), dtype=np.int32), 0
     for t in transforms:
         before[base + np.argsort(t, kind="stable")] = base + np.arange(len(t))
         base += len(t)
@@ -237,7 +244,7 @@ def extensions(transforms: list[np.ndarray]) -> np.ndarray:
 
 def places(before: np.ndarray, sizes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The piece and the place in it of each suffix, by walking from the terminators (``ends``) to the front."""
-    owner, place = np.empty(len(before), dtype=np.int64), np.empty(len(before), dtype=np.int64)
+    owner, place = np.empty(len(before), dtype=np.int32), np.empty(len(before), dtype=np.int32)
     at, piece, left = ends, np.arange(len(ends)), sizes
     while len(at):
         owner[at], place[at] = piece, left
@@ -252,45 +259,58 @@ def terminators(transforms: list[np.ndarray]) -> np.ndarray:
     return np.concatenate([base + np.arange(int((t == 0).sum())) for base, t in zip(sizes.tolist(), transforms)])
 
 
-def merge_transforms(transforms: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """The interleave (suffixes, numbered shard after shard, in merged order) and the common prefix of each with the one before it, both up to ``width`` bytes.
+def merge_transforms(transforms: list[np.ndarray], width: int, before: np.ndarray | None = None, prefixes: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """The interleave (suffixes, numbered shard after shard, in merged order) and the common prefix of each with the one before it, both up to ``width`` bytes. Without ``prefixes``, prefixes shorter than that are 0.
 
     The first round interleaves by PACKED symbols. Each other one takes an interleave by h symbols to
     one by 2h (width at last): suffixes that tie are ordered by the rank of what follows their first h symbols, where
     following is the inverse of the transforms' own extension. Suffixes that tie no more stay where they are. Terminators
     come first and all differ, so a suffix that ends within h symbols never ties.
     """
-    symbols, before = np.concatenate(transforms), extensions(transforms)
+    symbols, before = np.concatenate(transforms), extensions(transforms) if before is None else before
     n = len(before)
     longer = np.flatnonzero(before >= 0)
-    next_one, head = np.full(n, -1, dtype=np.int64), np.zeros(n, dtype=np.int64)
+    next_one, head = np.full(n, -1, dtype=np.int32), np.zeros(n, dtype=np.uint8)
     next_one[before[longer]] = longer
     head[before[longer]] = symbols[longer]  # a terminator's is 0
     first = min(PACKED, width)
     key, at, ended = np.zeros(n, dtype=np.int64), np.arange(n), np.zeros(n, dtype=bool)
     ways = []  # ways[j]: what follows j + 1 symbols
     for _ in range(first):
-        now = np.where(ended, 0, head[at])
+        now = head[at]
+        now[ended] = 0
         ended |= now == 0
-        key = key << 8 | now
-        at = np.where(ended, -1, next_one[at])
+        key <<= 8
+        key |= now
+        at = next_one[at]
+        at[ended] = -1
         ways.append(at)
     merged, rank = first_ranks(key, ended)
     rounds, h, jump = [], first, ways[-1]
     while h < width:
         rounds.append((h, rank, jump))
-        left, ahead = min(h, width - h), np.arange(n)
-        for size, _, way in reversed(rounds):  # what follows ``left`` symbols
-            if left >= size:
-                ahead, left = np.where(ahead >= 0, way[ahead], -1), left - size
-        if left:
-            ahead = np.where(ahead >= 0, ways[left - 1][ahead], -1)
-        h += min(h, width - h)
-        rank = refined(merged, rank, lambda x: ahead[x])  # noqa: B023
-        jump = np.where(jump >= 0, jump[jump], -1)
-    common, whole = np.zeros(n, dtype=np.int64), rank[merged[1:]] == rank[merged[:-1]]
+        step = min(h, width - h)
+
+        def follow(x):
+            """What follows ``step`` symbols; those that tie don't end before."""
+            left = step  # noqa: B023
+            for size, _, way in reversed(rounds):
+                if left >= size:
+                    x, left = way[x], left - size
+            return ways[left - 1][x] if left else x
+
+        rank = refined(merged, rank, follow)
+        h += step
+        if h < width:
+            gone = jump < 0
+            jump = jump[jump]
+            jump[gone] = -1
+    common, whole = np.zeros(n, dtype=np.int32), rank[merged[1:]] == rank[merged[:-1]]
+    common[1:][whole] = width
+    if not prefixes:
+        return merged, common
     x, y = merged[:-1][~whole].copy(), merged[1:][~whole].copy()
-    shared = np.zeros(len(x), dtype=np.int64)
+    shared = np.zeros(len(x), dtype=np.int32)
     for size, ranks, way in reversed(rounds):
         alike = ranks[x] == ranks[y]
         shared += size * alike
@@ -300,16 +320,16 @@ def merge_transforms(transforms: list[np.ndarray], width: int) -> tuple[np.ndarr
     for j in range(first - 1, -1, -1):
         alike &= ((differ >> (8 * j)) & 255 == 0) & ((key[x] >> (8 * j)) & 255 != 0)
         shared += alike
-    common[1:][whole] = width
     common[1:][~whole] = shared
     return merged, common
 
 
 def repeated(transforms: list[np.ndarray], pieces: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """doc, start of every string that occurs twice in the shards' pieces, and whether it also starts earlier. pieces: doc, start, strings of the shards' pieces, in order."""
-    merged, common = merge_transforms(transforms, width)
+    before = extensions(transforms)
+    merged, common = merge_transforms(transforms, width, before, False)
     sizes = pieces["strings"] + (width - 1)
-    piece, place = (x[merged] for x in places(extensions(transforms), sizes, terminators(transforms)))
+    piece, place = (x[merged] for x in places(before, sizes, terminators(transforms)))
     interval = np.cumsum(common < width)
     whole = np.flatnonzero(place + width <= sizes[piece])
     doc, start, interval = pieces["doc"][piece[whole]], pieces["start"][piece[whole]] + place[whole], interval[whole]
