@@ -10,8 +10,8 @@ same text). Strings never cross documents and are judged on the input.
    neighbouring strings each, filed under the bytes that these share, and routed again;
 2. shards: a task joins neighbouring snippets whose class is alone with its minimizer into longer pieces, builds the
    transform of its pieces, and sends each range its part of that. Snippets of other minimizers go to the range of their
-   minimizer, which drops strings whose core (what some neighbouring ones share) is nowhere else, and builds each
-   sender's transform of the rest;
+   minimizer, which drops strings whose core (what some neighbouring ones share) is nowhere else, and builds the
+   transforms of the rest, several senders' to a shard;
 3. merging: the shards' transforms of a range are merged by refining their interleave. A round orders the suffixes
    by twice as many bytes, and only those that still tie are moved. Common prefixes and intervals come from
    the rounds' ranks; an interval of ``width`` common bytes with two suffixes or more is a repeated string, and all
@@ -40,7 +40,9 @@ GRAM = 24
 #: Offsets of a minimizer in a string that share a core; records before a task hands on what it has.
 OFFSETS, FLUSH = 4, 300_000
 #: Bytes of a shard, and bytes of transforms that are merged at a time (whole ranges).
-SHARD, MERGE = 1 << 19, 1 << 19
+SHARD, MERGE = 1 << 20, 1 << 19
+#: Shards that a range makes of the snippets that it got as they are.
+RECEIVED = 4
 #: Source bytes for each range of minimizers.
 RANGE_BYTES = 1 << 22
 #: Longest piece of a text that is hashed at once; pieces overlap by width - 1.
@@ -332,7 +334,12 @@ def repeated(transforms: list[np.ndarray], pieces: np.ndarray, width: int) -> tu
     piece, place = (x[merged] for x in places(before, sizes, terminators(transforms)))
     interval = np.cumsum(common < width)
     whole = np.flatnonzero(place + width <= sizes[piece])
-    doc, start, interval = pieces["doc"][piece[whole]], pieces["start"][piece[whole]] + place[whole], interval[whole]
+    interval = interval[whole]
+    alike = np.zeros(len(whole), dtype=bool)
+    np.equal(interval[1:], interval[:-1], out=alike[1:])
+    alike[:-1] |= alike[1:]
+    whole, interval = whole[alike], interval[alike]
+    doc, start = pieces["doc"][piece[whole]], pieces["start"][piece[whole]] + place[whole]
     order = np.lexsort([start, doc, interval])
     doc, start, interval = doc[order], start[order], interval[order]
     again = np.zeros(len(order), dtype=bool)
@@ -640,7 +647,8 @@ def repeated_spans(texts: DataFrame, width: int) -> DataFrame:
             pieces = [np.frombuffer(r, dtype=PIECE) for made, r, _ in rows if made]
             loose = [np.frombuffer(r, dtype=RECORD) for made, r, _ in rows if not made]
             if loose:
-                sender = np.repeat(np.arange(len(loose)), [len(r) for r in loose])
+                # neighbouring senders make one shard, since a transform for each would be very many small ones
+                sender = np.repeat(np.arange(len(loose)) * RECEIVED // len(loose), [len(r) for r in loose])
                 every = np.concatenate(loose)
                 sizes = np.cumsum([0, *(every["strings"].astype(np.int64) + (width - 1))]).tolist()
                 data = np.frombuffer(b"".join([d for made, _, d in rows if not made]), dtype=np.uint8)
