@@ -20,7 +20,7 @@ same text). Strings never cross documents and are judged on the input.
 
 Null and empty texts have no bytes; texts shorter than ``width`` stay whole. A document is a key and its text: rows that
 repeat both get equal results, and rows that share a key but not the text are documents of their own, ordered by a
-hash of the text. A null key is the smallest. Keys may be of any type that sorts. An empty table gives an empty result.
+hash of the text. A null key comes last. Keys may be of any type that sorts. An empty table gives an empty result.
 Only key and text are read.
 """
 
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import concluded, join_texts, stored, tasks_for
+from .common import concluded, document, join_texts, stored, tasks_for
 
 GRAM = 24
 #: Offsets of a minimizer in a string that share a core; records before a task hands on what it has.
@@ -695,7 +695,7 @@ def documents(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, bool]:
     integral = isinstance(docs.schema[key].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
     if integral and read.groupBy("key").count().where("count > 1 OR key IS NULL").isEmpty():
         return read.select("key", F.col("key").cast("long").alias("doc"), "text"), True
-    named = read.withColumn("name", F.struct("key", F.xxhash64("text").alias("of")))
+    named = read.withColumn("name", document("key", "text"))
     order = named.select("name").distinct().orderBy("name").select("name", F.monotonically_increasing_id().alias("doc"))
     return join_texts(named, stored(order, "documents"), "name").select("key", "doc", "text"), False
 

@@ -28,8 +28,8 @@ def split_words(text: Column, separators: str = SPACES) -> Column:
 
 
 def document(key: str, text: str) -> Column:
-    """What tells a document from others, and orders it: its key, then a hash of its text."""
-    return F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("of"))
+    """What tells a document from others, and orders it: its key (null comes last), then a hash of its text."""
+    return F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.xxhash64(text).alias("of"))
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -14,7 +14,7 @@ so the earliest of a group always stays.
 
 Null and empty texts have no lines and stay as they are. A document is a key and its text: rows that repeat both lose
 the same lines, and rows that share a key but not the text are documents of their own, ordered by a hash of the text.
-A null key is one like any other and the smallest. An empty table gives an empty result. Other columns pass through
+A null key is one like any other and comes last. An empty table gives an empty result. Other columns pass through
 whatever their names.
 """
 

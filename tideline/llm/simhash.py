@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import concluded, forget, join_texts, small, stored, tasks_for, without
+from .common import concluded, document, forget, join_texts, small, stored, tasks_for, without
 
 SEED = 42
 #: Fingerprints of a subtrie beyond which it is cut, node pairs traversed at a time, and rows of a task's chunk of subtries.
@@ -490,7 +490,7 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle
 
     Of rows that share that key, the one with the smallest hash of its text stays, and of rows that repeat both one. Rows without a key come last.
     """
-    name = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.xxhash64(text).alias("of"))
+    name = document(key, text)
     rows = docs.select(name.alias("name"), F.col(text).alias("text"))
     found = near_duplicates(rows, "name", "text", shingle, budget) if similarity is None else similar_documents(rows, "name", "text", shingle, budget, similarity)
     found = stored(found.select("name", "component_id"), "named-groups")
