@@ -41,6 +41,8 @@ GRAM = 24
 OFFSETS, FLUSH = 4, 300_000
 #: Bytes of a shard, and bytes of transforms that are merged at a time (whole ranges).
 SHARD, MERGE = 1 << 20, 1 << 19
+#: Strings of a piece, about; longer ones are cut, since a step of places() moves all pieces by one byte.
+LONGEST = 1 << 12
 #: Shards that a range makes of the snippets that it got as they are.
 RECEIVED = 4
 #: Source bytes for each range of minimizers.
@@ -327,32 +329,40 @@ def merge_transforms(transforms: list[np.ndarray], width: int, before: np.ndarra
 
 
 def repeated(transforms: list[np.ndarray], pieces: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """doc, start of every string that occurs twice in the shards' pieces, and whether it also starts earlier. pieces: doc, start, strings of the shards' pieces, in order."""
+    """doc, start, in order, of every string that occurs twice in the shards' pieces, and whether it also starts earlier. pieces: doc, start, strings of the shards' pieces, in order."""
     before = extensions(transforms)
     merged, common = merge_transforms(transforms, width, before, False)
-    sizes = pieces["strings"] + (width - 1)
-    piece, place = (x[merged] for x in places(before, sizes, terminators(transforms)))
-    interval = np.cumsum(common < width)
-    whole = np.flatnonzero(place + width <= sizes[piece])
-    interval = interval[whole]
-    alike = np.zeros(len(whole), dtype=bool)
-    np.equal(interval[1:], interval[:-1], out=alike[1:])
-    alike[:-1] |= alike[1:]
-    whole, interval = whole[alike], interval[alike]
-    doc, start = pieces["doc"][piece[whole]], pieces["start"][piece[whole]] + place[whole]
-    order = np.lexsort([start, doc, interval])
-    doc, start, interval = doc[order], start[order], interval[order]
-    again = np.zeros(len(order), dtype=bool)
-    again[1:] = interval[1:] == interval[:-1]
+    piece, place = places(before, pieces["strings"] + (width - 1), terminators(transforms))
+    docs, shift, base = lined_up(pieces)
+    tied = common >= width
+    whole = tied.copy()
+    whole[:-1] |= tied[1:]
+    at = np.flatnonzero(whole)
+    interval, suffix = np.cumsum(~tied[at]) - 1, merged[at]
+    point = base[piece[suffix]]
+    point += place[suffix]
+    order = ordered(point, int(point.max(initial=0)) + 1)
+    point, interval = point[order], interval[order]
     # one place may be in several pieces: only another place makes a string a repeated one
-    same = np.zeros(len(order), dtype=bool)
-    same[1:] = again[1:] & (doc[1:] == doc[:-1]) & (start[1:] == start[:-1])
-    doc, start, interval = doc[~same], start[~same], interval[~same]
-    later = np.zeros(len(doc), dtype=bool)
-    later[1:] = interval[1:] == interval[:-1]
-    twice = later.copy()
-    twice[:-1] |= later[1:]
-    return doc[twice], start[twice], later[twice]
+    other = np.ones(len(point), dtype=bool)
+    np.not_equal(point[1:], point[:-1], out=other[1:])
+    point, interval = point[other], interval[other]
+    number = np.arange(len(point))
+    earliest = np.zeros(len(at), dtype=np.int64)
+    earliest[interval[::-1]] = number[::-1]
+    twice = (np.bincount(interval, minlength=1) > 1)[interval]
+    point, later = point[twice], (earliest[interval] != number)[twice]
+    of = np.repeat(np.arange(len(docs)), np.diff(np.append(np.searchsorted(point, shift), len(point))))
+    return docs[of], point - shift[of], later
+
+
+def lined_up(pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Documents of pieces laid end to end: the documents, where each begins, and where each piece's first string is."""
+    docs, of = np.unique(pieces["doc"], return_inverse=True)
+    length = np.zeros(len(docs), dtype=np.int64)
+    np.maximum.at(length, of, pieces["start"] + pieces["strings"])
+    shift = np.cumsum(length) - length
+    return docs, shift, shift[of] + pieces["start"]
 
 
 def recurring(records: np.ndarray, bodies: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -389,6 +399,9 @@ def chained(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     new = np.ones(len(r), dtype=bool)
     new[1:] = (r["gram"][1:] != r["gram"][:-1]) | (r["two"][1:] != r["two"][:-1]) | (r["start"][1:] != r["start"][:-1] + r["strings"][:-1])
     first = np.flatnonzero(new)
+    along = r["start"] - np.repeat(r["start"][first], np.diff(np.append(first, len(r))))
+    new[1:] |= along[1:] // LONGEST != along[:-1] // LONGEST
+    first = np.flatnonzero(new)
     return _pieces(r["doc"][first], r["start"][first], np.add.reduceat(r["strings"].astype(np.int64), first) if len(r) else r["strings"]), r["gram"][first]
 
 
@@ -406,12 +419,20 @@ def merged_spans(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 def _span_rows(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows of doc and its packed, united spans."""
-    order = np.argsort(doc, kind="stable")
+    order = np.lexsort([start, doc])
     doc, start, end = doc[order], start[order], end[order]
-    cuts = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.empty(0, dtype=np.int64)
-    stops = np.concatenate([cuts[1:], [len(doc)]]).astype(np.int64)
-    packed = [merged_spans(start[a:b], end[a:b]).tobytes() for a, b in zip(cuts, stops)]
-    yield pa.RecordBatch.from_arrays([pa.array(doc[cuts]), pa.array(packed, pa.binary())], names=["doc", "spans"])
+    change = np.ones(len(doc), dtype=bool)
+    np.not_equal(doc[1:], doc[:-1], out=change[1:])
+    # documents laid end to end, so that spans of two never touch
+    shift = (np.cumsum(change) - 1) * (int(end.max(initial=0)) + 1)
+    spans = merged_spans(start + shift, end + shift)
+    owner = np.searchsorted(shift[change], spans["start"], "right") - 1
+    for f in SPAN.names:
+        spans[f] -= shift[change][owner]
+    stops = np.searchsorted(owner, np.arange(int(change.sum())), "right") * SPAN.itemsize
+    data = spans.tobytes()
+    packed = [data[a:b] for a, b in zip([0, *stops.tolist()], stops.tolist())]
+    yield pa.RecordBatch.from_arrays([pa.array(doc[change]), pa.array(packed, pa.binary())], names=["doc", "spans"])
 
 
 def finer(data: bytes, records: np.ndarray, width: int) -> np.ndarray:
