@@ -26,7 +26,7 @@ Only key and text are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +47,8 @@ LONGEST = 1 << 12
 RECEIVED = 4
 #: Source bytes for each range of minimizers.
 RANGE_BYTES = 1 << 22
-#: Longest piece of a text that is hashed at once; pieces overlap by width - 1.
-CHUNK = 1 << 20
+#: Longest piece of a text that is hashed at once; pieces overlap by width - 1. Shorter texts up to so many bytes are hashed together.
+CHUNK, TOGETHER = 1 << 20, 1 << 16
 #: Records of a minimizer in one task, and in all, beyond which its snippets are cut finer before they meet.
 LOCAL_CROWD, CROWD = 64, 1000
 #: Kinds of routed rows: copies of a task's first, copies of the first of all, records to merge, records to cut finer.
@@ -119,27 +119,55 @@ def digests(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 def snippets(data: bytes, width: int, doc: int) -> np.ndarray:
     """A record for each minimizer occurrence of a text: its hash, the digest of all its strings, where they start and how many they are."""
-    out, gram = [], min(GRAM, width)
-    for base in range(0, max(1, len(data) - width + 1), CHUNK):
-        part = np.frombuffer(data, dtype=np.uint8)[base : base + CHUNK + width - 1]
-        if len(part) < width:
-            break
-        hashes = Hashes(part)
-        at = np.arange(len(part) - gram + 1)
-        grams = hashes.of(at, at + gram)
-        # the least hash by its upper 40 bits, the first of equals
-        least = sliding_min((grams >> np.uint64(24) << np.uint64(24)) | at.astype(np.uint64), width - gram + 1)
-        place = (least & np.uint64((1 << 24) - 1)).astype(np.int64)
-        first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-        n = np.diff(np.concatenate([first, [len(place)]]))
-        made = np.empty(len(first), dtype=RECORD)
-        made["gram"], made["doc"], made["start"] = grams[place[first]], doc, first + base
-        made["one"], made["two"] = digests(data, first + base, first + base + n + width - 1).T
-        made["strings"], made["offset"] = n, place[first] - first
-        out.append(made)
+    out = [occurrences([data[base : base + CHUNK + width - 1]], [doc], base, width) for base in range(0, len(data) - width + 1, CHUNK)]
     return np.concatenate(out) if out else np.empty(0, dtype=RECORD)
 
 
+def snippets_of_all(texts: Iterable[bytes], docs: list[int], width: int) -> Iterator[np.ndarray]:
+    """The records of texts, short ones up to TOGETHER bytes at once."""
+    short, size = [], 0
+    for data, doc in zip(texts, docs):
+        if len(data) > TOGETHER:
+            yield snippets(data, width, doc)
+        elif len(data) >= width:
+            short.append((data, doc))
+            size += len(data)
+        if size > TOGETHER:
+            yield occurrences(*zip(*short), 0, width)
+            short, size = [], 0
+    if short:
+        yield occurrences(*zip(*short), 0, width)
+
+
+def occurrences(texts: list[bytes], docs: list[int], base: int, width: int) -> np.ndarray:
+    """The records of texts of at least ``width`` bytes, hashed as one array. base: where the texts begin in their documents."""
+    gram, sizes = min(GRAM, width), np.array([len(t) for t in texts])
+    data = b"".join(texts)
+    begins = np.cumsum(sizes) - sizes
+    hashes = Hashes(np.frombuffer(data, dtype=np.uint8))
+    at = np.arange(len(data) - gram + 1)
+    grams = hashes.of(at, at + gram)
+    # the least hash by its upper 40 bits, the first of equals
+    least = sliding_min((grams >> np.uint64(24) << np.uint64(24)) | at.astype(np.uint64), width - gram + 1)
+    place = (least & np.uint64((1 << 24) - 1)).astype(np.int64)
+    # strings that lie in one text; a minimizer then does too
+    counts = sizes - (width - 1)
+    inside = np.ones(len(place), dtype=bool)
+    for a in begins[1:].tolist():
+        inside[a - width + 1 : a] = False
+    string = np.flatnonzero(inside)
+    place = place[string]
+    first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+    n = np.diff(np.append(first, len(place)))
+    owner = np.searchsorted(np.cumsum(counts), first, "right")
+    start = string[first]
+    made = np.empty(len(first), dtype=RECORD)
+    made["gram"], made["doc"], made["start"] = grams[place[first]], np.array(docs)[owner], start - begins[owner] + base
+    made["one"], made["two"] = digests(data, start, start + n + width - 1).T
+    made["strings"], made["offset"] = n, place[first] - start
+    return made
+
+
 def classes(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Records sorted by class then position, each once, and the place of each one in its class."""
     s = records[np.lexsort([records[f] for f in ("start", "doc", "two", "one", "gram")])]
@@ -506,10 +534,10 @@ def _grams(records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return change, np.diff(np.concatenate([change, [len(records)]])).astype(np.int64)
 
 
-def route(texts: DataFrame, made, width: int, ranges: int, hot: bool) -> DataFrame:
+def route(texts: DataFrame, made, ranges: int, hot: bool) -> DataFrame:
     """kind, doc, pack of texts: copies of a first (NEAR, FAR: links), what must be merged (MIXED: records), and records of crowded minimizers (HOT).
 
-    made: the records of a row of a batch. Each task passes on the first two records of a class that it sees, and notes the others as
+    made: the records of a batch, in parts. Each task passes on the first two records of a class that it sees, and notes the others as
     copies, so a class that is everywhere costs two records a task. With ``hot``, a minimizer with many records in one task passes on
     only a mark, and one with many records in all isn't merged as it is: its records come back as HOT.
     """
@@ -539,11 +567,9 @@ def route(texts: DataFrame, made, width: int, ranges: int, hot: bool) -> DataFra
 
         n = 0
         for batch in batches:
-            for k in range(batch.num_rows):
-                records = made(batch, k)
-                if len(records):
-                    held.append(records)
-                    n += len(records)
+            for records in made(batch):
+                held.append(records)
+                n += len(records)
                 if n >= FLUSH:
                     yield from hand_on()
                     n = 0
@@ -605,12 +631,14 @@ def repeated_spans(texts: DataFrame, width: int) -> DataFrame:
     text_of = lambda batch, k: batch.column("text")[k].as_py().encode("utf-8", "surrogatepass")
     # what is known of a document grows with the corpus, so these joins have one plan at every size
     listed = lambda df: stored(df.groupBy("doc").agg(F.collect_list("pack").alias("records")), "records")
-    levels = [route(texts, lambda batch, k: snippets(text_of(batch, k), width, batch.column("doc")[k].as_py()), width, ranges, True)]
+    first = lambda batch: snippets_of_all((text_of(batch, k) for k in range(batch.num_rows)), batch.column("doc").to_pylist(), width)
+    levels = [route(texts, first, ranges, True)]
     hot = listed(levels[0].where(F.col("kind") == HOT))
     if not hot.isEmpty():
         again = join_texts(texts, hot, "doc", broadcast=False)
-        cut_again = lambda batch, k: finer(text_of(batch, k), np.frombuffer(b"".join(batch.column("records")[k].as_py()), dtype=RECORD), width)
-        levels.insert(0, route(again, cut_again, width, ranges, False))
+        packed = lambda batch, k: np.frombuffer(b"".join(batch.column("records")[k].as_py()), dtype=RECORD)
+        cut_again = lambda batch: (finer(text_of(batch, k), packed(batch, k), width) for k in range(batch.num_rows))
+        levels.insert(0, route(again, cut_again, ranges, False))
     mixed = levels[0].where(F.col("kind") == MIXED)
     for level in levels[1:]:
         mixed = mixed.unionByName(level.where(F.col("kind") == MIXED))
