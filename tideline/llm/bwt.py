@@ -318,9 +318,10 @@ def merge_transforms(transforms: list[np.ndarray], width: int, before: np.ndarra
         at[ended] = -1
         ways.append(at)
     merged, rank = first_ranks(key, ended)
+    key = key if prefixes else None
     rounds, h, jump = [], first, ways[-1]
     while h < width:
-        rounds.append((h, rank, jump))
+        rounds.append((h, rank if prefixes else None, jump))
         step = min(h, width - h)
 
         def follow(x):
