@@ -597,6 +597,31 @@ def test_long_texts_are_hashed_in_parts(monkeypatch):
     assert starts(whole) == starts(parts) == list(range(4901))
 
 
+def test_short_texts_are_hashed_together(monkeypatch):
+    """Texts shorter than a string, of one string, and longer than all that is hashed at once: the records of each text by itself."""
+    some = random.Random(2)
+    texts = [bytes(some.choices(b"abc ", k=k)) for k in (0, 99, 100, 101, 350, 2000, 99, 130, 0)]
+    monkeypatch.setattr(bwt, "TOGETHER", 700)
+    got = np.concatenate(list(bwt.snippets_of_all(texts, list(range(7, 16)), 100)))
+    want = np.concatenate([bwt.snippets(t, 100, k) for k, t in enumerate(texts, 7)])
+    assert sorted(got.tolist()) == sorted(want.tolist()) and set(got["doc"].tolist()) == {9, 10, 11, 12, 14}
+    assert list(bwt.snippets_of_all([b"", b"short"], [1, 2], 100)) == []
+
+
+def test_repeated_strings_of_shards():
+    """Strings that two documents or two places share, in pieces that overlap and are dealt to two shards."""
+    pieces = [(3, 5, b"xabcdefgh"), (3, 8, b"defghij"), (9, 0, b"zzcdefghz"), (4, 1, b"cdefg")]
+    meta = bwt._pieces(*(np.array(c, dtype=np.int64) for c in ([p[0] for p in pieces], [p[1] for p in pieces], [len(p[2]) - 3 for p in pieces])))
+    shards = [bwt.shard_transform([np.frombuffer(p[2], dtype=np.uint8) for p in part])[0] for part in (pieces[:2], pieces[2:])]
+    doc, start, later = bwt.repeated(shards, meta, 4)
+    at: dict[bytes, set] = {}
+    for d, s, body in pieces:
+        for k in range(len(body) - 3):
+            at.setdefault(body[k : k + 4], set()).add((d, s + k))
+    want = sorted((d, s, (d, s) != min(places)) for places in at.values() if len(places) > 1 for d, s in places)
+    assert list(zip(doc.tolist(), start.tolist(), later.tolist())) == want
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_join_texts(spark, monkeypatch, how):
     """Nothing fits, and few bitmaps: the same rows as a plain join, nulls and repeats too."""
