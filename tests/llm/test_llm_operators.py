@@ -610,7 +610,7 @@ def test_short_texts_are_hashed_together(monkeypatch):
 
 def test_repeated_strings_of_shards():
     """Strings that two documents or two places share, in pieces that overlap and are dealt to two shards."""
-    pieces = [(3, 5, b"xabcdefgh"), (3, 8, b"defghij"), (9, 0, b"zzcdefghz"), (4, 1, b"cdefg")]
+    pieces = [(3, 5, b"xabcdefgh"), (3, 9, b"defghij"), (9, 0, b"zzcdefghz"), (4, 1, b"cdefg")]
     meta = bwt._pieces(*(np.array(c, dtype=np.int64) for c in ([p[0] for p in pieces], [p[1] for p in pieces], [len(p[2]) - 3 for p in pieces])))
     shards = [bwt.shard_transform([np.frombuffer(p[2], dtype=np.uint8) for p in part])[0] for part in (pieces[:2], pieces[2:])]
     doc, start, later = bwt.repeated(shards, meta, 4)
